@@ -520,7 +520,9 @@ from silver_erp_px_cat_g1v2""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_blocks(sql.strip()) for name, sql in ORACLE.items()}
+    from checks.operator_oracle import OPERATOR_ORACLE
+
+    return {name: with_blocks(sql.strip()) for name, sql in (ORACLE | OPERATOR_ORACLE).items()}
 
 
 def with_blocks(sql: str) -> str:

@@ -183,4 +183,6 @@ _TABLES = [
 
 
 def queries() -> dict[str, Query]:
-    return {name: _query(answer) for name, answer in _ANSWERS.items()}
+    from checks.operator_queries import ANSWERS
+
+    return {name: _query(answer) for name, answer in (_ANSWERS | ANSWERS).items()}

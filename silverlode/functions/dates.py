@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 
 def int_date(number: Column, latest: dt.date) -> Column:
     """Date from a yyyymmdd number; NULL when it is no such date or lies after `latest`."""
+    year, month, day = _div(number, 10_000), _div(number, 100) % 100, number % 100
+    # Built by calendar arithmetic, which a broken number turns into NULL without a parser.
     eight_digits = number.between(10_000_101, 99_991_231)
-    parsed = F.when(eight_digits, F.try_to_date(number.cast("string"), "yyyyMMdd"))
-    return F.when(parsed <= F.lit(latest), parsed)
+    real_month = F.when(eight_digits & month.between(1, 12) & day.between(1, 31), month)
+    date = F.date_add(F.make_date(year, real_month, F.lit(1)), day - 1)
+    # A day past the end of its month lands in the next one.
+    return F.when((F.month(date) == month) & (date <= F.lit(latest)), date)
+
+
+def _div(number: Column, by: int) -> Column:
+    return F.call_function("div", number, F.lit(by)).cast("int")
 
 
 def null_after(date: Column, latest: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,41 +23,38 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
+        self._entries: list[tuple] = []
 
     def add(
         self, layer: str, table: str, rows: int | None, rejected: int | None, seconds: float,
         status: str,
     ) -> None:
-        entry = (layer, table, rows, rejected, seconds, status, dt.datetime.now())
-        line = self.spark.createDataFrame([entry], RUN_LOG).coalesce(1)
-        line.write.mode("append").parquet(self.path)
+        self._entries.append((layer, table, rows, rejected, seconds, status, dt.datetime.now()))
+
+    def write(self) -> DataFrame:
+        """Append the collected entries to the stored log; returns them."""
+        entries, self._entries = self._entries, []
+        lines = self.spark.createDataFrame(entries, RUN_LOG).coalesce(1)
+        lines.write.mode("append").parquet(self.path)
+        return lines
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG).parquet(self.path)
 
 
 def full_reload(
-    df: DataFrame, path: str, log: RunLog, layer: str, table: str, max_rejects: int | None = None
+    rows: Callable[[], DataFrame], path: str, log: RunLog, layer: str, table: str,
+    max_rejects: int | None = None,
 ) -> int:
-    """Replace the table at `path` with `df` and log rows and seconds; returns the row count.
+    """Replace the table at `path` with the rows and log their count and the seconds from
+    planning to the last file; returns the count.
 
     Rows are counted while they are written, so the input is read once. Lines marked as
     rejected by `read_extract` are counted and left out. Any error is logged and raised.
     """
     started = time.monotonic()
-    watch = Observation()
-    has_rejects = REJECT in df.columns
-    counts = [F.count(F.lit(1)).alias("rows")]
-    if has_rejects:
-        counts.append(F.count(F.col(REJECT)).alias("rejected"))
-    observed = df.observe(watch, *counts)
-    if has_rejects:
-        observed = split_rejects(observed)[0]
     try:
-        observed.write.mode("overwrite").parquet(path)
-        seen = watch.get
-        refused = seen.get("rejected", 0)
-        loaded = seen["rows"] - refused
+        loaded, refused = _write_counted(rows(), path)
         if max_rejects is not None and refused > max_rejects:
             raise LoadFailed(f"{layer}.{table}: {refused} rejected lines, {max_rejects} allowed")
     except Exception:
@@ -64,3 +62,15 @@ def full_reload(
         raise
     log.add(layer, table, loaded, refused, time.monotonic() - started, "ok")
     return loaded
+
+
+def _write_counted(df: DataFrame, path: str) -> tuple[int, int]:
+    watch = Observation()
+    if REJECT not in df.columns:
+        df.observe(watch, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return watch.get["rows"], 0
+    counted = df.observe(
+        watch, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECT)).alias("rejected")
+    )
+    split_rejects(counted)[0].write.mode("overwrite").parquet(path)
+    return watch.get["rows"] - watch.get["rejected"], watch.get["rejected"]

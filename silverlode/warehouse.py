@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,41 +62,49 @@ class Warehouse:
             )
             for extract in extracts
         }
-        return self._load("bronze", tables, max_rejects)
+        return self._load("bronze", [tables], max_rejects)
 
     def load_bronze(self, tables: dict[str, DataFrame]) -> DataFrame:
         """Load raw rows that are DataFrames already."""
-        return self._load("bronze", {name: lambda rows=rows: rows for name, rows in tables.items()})
+        return self._load("bronze", [{name: lambda rows=rows: rows for name, rows in tables.items()}])
 
     def load_silver(self) -> DataFrame:
         """Clean every bronze table; locations come after the customers they refer to."""
         job, raw = self.job, self.bronze
-        return self._load("silver", {
-            "crm_cust_info": lambda: silver.clean_customers(raw("crm_cust_info")),
-            "crm_prd_info": lambda: silver.clean_products(job, raw("crm_prd_info")),
-            "crm_sales_details": lambda: silver.clean_sales(job, raw("crm_sales_details")),
-            "erp_cust_az12": lambda: silver.clean_erp_customers(job, raw("erp_cust_az12")),
-            "erp_loc_a101": lambda: silver.clean_locations(
-                job, raw("erp_loc_a101"), self.silver("crm_cust_info")
-            ),
-            "erp_px_cat_g1v2": lambda: silver.clean_categories(raw("erp_px_cat_g1v2")),
-        })
+        return self._load("silver", [
+            {
+                "crm_cust_info": lambda: silver.clean_customers(raw("crm_cust_info")),
+                "crm_prd_info": lambda: silver.clean_products(job, raw("crm_prd_info")),
+                "crm_sales_details": lambda: silver.clean_sales(job, raw("crm_sales_details")),
+                "erp_cust_az12": lambda: silver.clean_erp_customers(job, raw("erp_cust_az12")),
+                "erp_px_cat_g1v2": lambda: silver.clean_categories(raw("erp_px_cat_g1v2")),
+            },
+            {
+                "erp_loc_a101": lambda: silver.clean_locations(
+                    job, raw("erp_loc_a101"), self.silver("crm_cust_info")
+                ),
+            },
+        ])
 
     def load_gold(self) -> DataFrame:
         """Build dimensions and fact together, so that their surrogate keys agree."""
         job, clean = self.job, self.silver
-        return self._load("gold", {
-            "dim_customer": lambda: gold.dim_customer(
-                job, clean("crm_cust_info"), clean("erp_cust_az12"), clean("erp_loc_a101")
-            ),
-            "dim_product": lambda: gold.dim_product(
-                job, clean("crm_prd_info"), clean("erp_px_cat_g1v2")
-            ),
-            "fact_sales": lambda: gold.fact_sales(
-                job, clean("crm_sales_details"), self.gold("dim_customer"),
-                self.gold("dim_product"),
-            ),
-        })
+        return self._load("gold", [
+            {
+                "dim_customer": lambda: gold.dim_customer(
+                    job, clean("crm_cust_info"), clean("erp_cust_az12"), clean("erp_loc_a101")
+                ),
+                "dim_product": lambda: gold.dim_product(
+                    job, clean("crm_prd_info"), clean("erp_px_cat_g1v2")
+                ),
+            },
+            {
+                "fact_sales": lambda: gold.fact_sales(
+                    job, clean("crm_sales_details"), self.gold("dim_customer"),
+                    self.gold("dim_product"),
+                ),
+            },
+        ])
 
     def register_views(self) -> None:
         """Make every stored table a view named <layer>_<table> for SQL users."""
@@ -104,16 +113,35 @@ class Warehouse:
                 self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
 
     def _load(
-        self, layer: str, tables: dict[str, Callable[[], DataFrame]],
+        self, layer: str, steps: list[dict[str, Callable[[], DataFrame]]],
         max_rejects: int | None = None,
     ) -> DataFrame:
-        """Reload the tables in order; returns the log rows of this load."""
+        """Reload the tables of a layer, step by step; returns the log rows of this load.
+
+        The tables of one step do not need each other and are submitted together, so that a
+        small one does not leave the cluster idle. The first error is raised once all tables of
+        its step have ended; later steps are not started.
+        """
         started = time.monotonic()
-        total = 0
-        for table, rows in tables.items():
-            plan = rows()
-            if layer == "silver":
-                plan = plan.withColumn(schemas.LOAD_TIME, F.current_timestamp())
-            total += full_reload(plan, self.path(layer, table), self.log, layer, table, max_rejects)
-        self.log.add(layer, "(all)", total, None, time.monotonic() - started, "ok")
-        return self.log.read().filter(F.col("layer") == layer)
+
+        def reload(item: tuple[str, Callable[[], DataFrame]]) -> int:
+            table, rows = item
+
+            def stamped() -> DataFrame:
+                return rows().withColumn(schemas.LOAD_TIME, F.current_timestamp())
+
+            return full_reload(
+                stamped if layer == "silver" else rows, self.path(layer, table), self.log, layer,
+                table, max_rejects,
+            )
+
+        total, status = 0, "failed"
+        try:
+            for tables in steps:
+                with ThreadPoolExecutor(len(tables)) as pool:
+                    total += sum(pool.map(reload, tables.items()))
+            status = "ok"
+        finally:
+            self.log.add(layer, "(all)", total, None, time.monotonic() - started, status)
+            entries = self.log.write()
+        return entries
