@@ -24,6 +24,7 @@ _JOIN_ORDERS = "(select o_orderkey, o_custkey from orders where o_orderstatus =
 
 OPERATOR_ORACLE: dict[str, str] = {
     "s1_quoted_extract": "select * from bronze_crm_cust_info",
+    "s1_quoted_locations": "select * from bronze_erp_loc_a101",
     "s2_plain_extract": "select cid, bdate, nullif(gen, '') as gen from bronze_erp_cust_az12",
     "s3_full_reload": "select * from bronze_erp_loc_a101 where cntry <> ''",
     "s4_load_time": "\nunion all ".join(

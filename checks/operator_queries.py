@@ -268,6 +268,7 @@ def joined_lines(b: Build, how: str) -> DataFrame:
 
 ANSWERS = {
     "s1_quoted_extract": lambda b: extract_rows(b, "crm_cust_info", quoted=True),
+    "s1_quoted_locations": lambda b: extract_rows(b, "erp_loc_a101", quoted=True),
     "s2_plain_extract": lambda b: extract_rows(b, "erp_cust_az12", quoted=False),
     "s3_full_reload": reload_twice,
     "s4_load_time": stamped_rows,

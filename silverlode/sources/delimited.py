@@ -30,6 +30,8 @@ def read_extract(
         .option("mode", mode)
         .option("enforceSchema", True)
         .option("dateFormat", "yyyy-MM-dd")
+        # Stands for a field without any text; a quoted empty text then stays an empty text.
+        .option("nullValue", "\u0000")
     )
     if permissive:
         reader = reader.option("columnNameOfCorruptRecord", REJECT)
