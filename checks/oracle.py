@@ -525,20 +525,21 @@ def oracle_sql() -> dict[str, str]:
     return {name: with_blocks(sql.strip()) for name, sql in (ORACLE | OPERATOR_ORACLE).items()}
 
 
-def with_blocks(sql: str) -> str:
+def with_blocks(sql: str, replaced: dict[str, str] | None = None) -> str:
     """Put the blocks that `sql` needs in front of it, each after those it needs itself."""
+    known = _BLOCKS | (replaced or {})
     ordered: list[str] = []
 
     def need(text: str) -> None:
         for name in re.findall(r"\w+", text):
-            if name in _BLOCKS and name not in ordered and name not in pending:
+            if name in known and name not in pending:
                 pending.add(name)
-                need(_BLOCKS[name])
+                need(known[name])
                 ordered.append(name)
 
     pending: set[str] = set()
     need(sql)
-    blocks = [f"{name} as ({_BLOCKS[name].strip()})" for name in ordered]
+    blocks = [f"{name} as ({known[name].strip()})" for name in ordered]
     if not blocks:
         return sql
     if sql.lower().startswith("with "):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.extracts import spark_extracts
-from silverlode import Job, Warehouse
+from silverlode import Job, Limits, Warehouse
 from silverlode.plans import audits, explore, gold, practice, reports, silver, trends
 
 AS_OF = dt.date(2025, 12, 31)
@@ -23,9 +23,13 @@ class Build:
     those tables and does not clean the extracts again.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, limits: Limits | None = None,
+        extracts: dict[str, DataFrame] | None = None,
+    ) -> None:
         self.sf_dir = sf_dir
-        self.job = Job(spark, AS_OF)
+        self.job = Job(spark, AS_OF, limits or Limits())
+        self.extracts = extracts
         self.store = Warehouse(self.job)
         self._loaded: set[str] = set()
 
@@ -34,7 +38,9 @@ class Build:
         for step in order[: order.index(layer) + 1]:
             if step not in self._loaded:
                 if step == "bronze":
-                    self.store.load_bronze(spark_extracts(self.job.spark, self.sf_dir))
+                    self.store.load_bronze(
+                        self.extracts or spark_extracts(self.job.spark, self.sf_dir)
+                    )
                 elif step == "silver":
                     self.store.load_silver()
                 else:
@@ -78,7 +84,7 @@ def _query(answer: Callable[[Build], DataFrame]) -> Query:
     return lambda spark, sf_dir: answer(build(spark, sf_dir))
 
 
-_ANSWERS: dict[str, Callable[[Build], DataFrame]] = {
+ANSWERS: dict[str, Callable[[Build], DataFrame]] = {
     # cleaned tables, from the raw ones
     "t1_clean_customers": lambda b: silver.clean_customers(b.bronze("crm_cust_info")),
     "t2_clean_products": lambda b: silver.clean_products(b.job, b.bronze("crm_prd_info")),
@@ -183,6 +189,6 @@ _TABLES = [
 
 
 def queries() -> dict[str, Query]:
-    from checks.operator_queries import ANSWERS
+    from checks import operator_queries
 
-    return {name: _query(answer) for name, answer in (_ANSWERS | ANSWERS).items()}
+    return {name: _query(answer) for name, answer in (ANSWERS | operator_queries.ANSWERS).items()}

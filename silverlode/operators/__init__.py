@@ -3,13 +3,13 @@
 from silverlode.operators.groups import latest_per_key, with_group_max, with_next_value
 from silverlode.operators.joins import ROW_ID, balanced_join, hot_keys
 from silverlode.operators.keys import add_dense_key
-from silverlode.operators.measures import long_measures, with_grand_total
+from silverlode.operators.measures import group_with_distinct, long_measures, with_grand_total
 from silverlode.operators.ranking import bottom_k, top_dense_ranks, top_k, top_row_numbers
 
 __all__ = [
     "latest_per_key", "with_group_max", "with_next_value",
     "ROW_ID", "balanced_join", "hot_keys",
     "add_dense_key",
-    "long_measures", "with_grand_total",
+    "group_with_distinct", "long_measures", "with_grand_total",
     "bottom_k", "top_dense_ranks", "top_k", "top_row_numbers",
 ]

@@ -17,18 +17,33 @@ def number_rows(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
-def hot_keys(job: Job, df: DataFrame, key: str) -> DataFrame | None:
-    """Values of `key` (NULL included) with more rows than the hot limit, as (key, rows).
+# Sampled rows expected of a key at the hot limit; half of them make a key hot, so that a key at
+# the limit is practically never missed and one at a quarter of it practically never taken.
+_HITS = 100
+
 
-    None when there are none, found by one aggregate over the key column alone. At most
-    `hot_keys` values can qualify, so the result is small enough to broadcast.
+def hot_keys(job: Job, df: DataFrame, key: str) -> DataFrame | None:
+    """Values of `key` (NULL included) with more rows than the hot limit, as (key, rows); None
+    when there are none.
+
+    `df` is a stored table: its row count comes from the file footers, and a table smaller than
+    the limit ends here. Else the key column is sampled, thinly enough that only about a million
+    sampled rows are grouped. Which keys count as hot decides how rows are spread, never which
+    rows come out, so the sample cannot change a result. At most `2 * hot_keys` values can
+    qualify, which bounds what is broadcast.
     """
-    counts = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
-    sizes = counts.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
-    limit = job.limits.hot_limit(sizes["total"] or 0)
-    if (sizes["largest"] or 0) <= limit:
+    total = df.count()
+    limit = job.limits.hot_limit(total)
+    if total <= limit:
         return None
-    return job.stage(counts.filter(F.col("rows") > limit), "hot_keys")
+    fraction = min(1.0, _HITS / limit)
+    seen, needed = df.select(F.col(key).alias("key")), float(limit)
+    if fraction < 1.0:
+        seen, needed = seen.sample(fraction, seed=1), _HITS / 2
+    counts = seen.groupBy("key").agg(F.count("*").alias("seen"))
+    rows = F.ceil(F.col("seen") / F.lit(fraction)).cast("bigint")
+    hot = job.stage(counts.filter(F.col("seen") > needed).select("key", rows.alias("rows")), "hot_keys")
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -39,10 +54,14 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataF
 
 
 def balanced_join(
-    job: Job, left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left"
+    job: Job, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+    how: str = "left", left_source: DataFrame | None = None,
 ) -> DataFrame:
     """Left, inner or left-semi equi-join of two stored tables (or row-wise selections of them).
 
+    When `left` already is a join, `left_source` names the stored table its rows come from: hot
+    keys are looked up there, and `left` has to carry the row numbers of `number_rows`.
+
     - right side counted and small: broadcast, the left side does not move;
     - otherwise a shuffle join; if a key is hot on either side, its rows are dealt over a grid
       of cells (left rows over the cell rows, right rows over the cell columns) and each cell is
@@ -56,7 +75,7 @@ def balanced_join(
     if right.count() <= job.limits.broadcast_rows:
         return left.join(F.broadcast(right), on_key, how)
 
-    hot_left = hot_keys(job, left, left_key)
+    hot_left = hot_keys(job, left if left_source is None else left_source, left_key)
     hot_right = None if how == "left_semi" else hot_keys(job, right, right_key)
     if hot_left is None and hot_right is None:
         return left.join(right, on_key, how)

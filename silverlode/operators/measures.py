@@ -24,6 +24,25 @@ def long_measures(
     return wide.select(F.inline(F.array(*rows)))
 
 
+def group_with_distinct(
+    df: DataFrame, key: str, measures: Sequence[Column], distinct: Mapping[str, str]
+) -> DataFrame:
+    """Measures and several distinct counts ({name: column}) per non-NULL key.
+
+    Each distinct count is an aggregate of its own over just the key and its column, and they
+    meet on the key they are partitioned by already. In a single aggregate every row would be
+    copied once per distinct column, with all columns.
+    """
+    known = df.filter(F.col(key).isNotNull())
+    result = None
+    for name, column in distinct.items():
+        count = F.count_distinct(column).alias(name)
+        extra = measures if result is None else []
+        part = known.groupBy(key).agg(*extra, count)
+        result = part if result is None else result.join(part, key)
+    return result
+
+
 def with_grand_total(df: DataFrame, value: str, name: str) -> DataFrame:
     """Add the sum of `value` over all rows, as a scalar subquery: no window over everything."""
     return df.withColumn(name, df.agg(F.sum(value)).scalar())

@@ -23,7 +23,7 @@ def dim_customer(
     places = locations.select(F.col("cid").alias("_place_id"), "cntry")
     numbered = number_rows(customers)
     joined = balanced_join(job, numbered, details, "cst_key", "_detail_id")
-    joined = balanced_join(job, joined, places, "cst_key", "_place_id")
+    joined = balanced_join(job, joined, places, "cst_key", "_place_id", left_source=customers)
     rows = joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -65,7 +65,9 @@ def fact_sales(job: Job, sales: DataFrame, customers: DataFrame, products: DataF
     buyers = customers.select("customer_id", "customer_key")
     goods = products.select("product_number", "product_key")
     joined = balanced_join(job, number_rows(sales), buyers, "sls_cust_id", "customer_id")
-    joined = balanced_join(job, joined, goods, "sls_prd_key", "product_number")
+    joined = balanced_join(
+        job, joined, goods, "sls_prd_key", "product_number", left_source=sales
+    )
     return joined.drop(ROW_ID).select(
         F.col("sls_ord_num").alias("order_number"),
         "product_key",

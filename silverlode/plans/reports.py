@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from silverlode import fixed_values as fixed
 from silverlode.functions import band, concat_blank, int_div, month_diff, sum_or_zero, year_diff
 from silverlode.job import Job
+from silverlode.operators import group_with_distinct
 
 
 def customer_segment(months: Column, sales: Column) -> Column:
@@ -33,14 +34,12 @@ def _per_month(sales: Column, months: Column) -> Column:
 def report_customers(job: Job, customers: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales are aggregated per customer before they meet the dimension, which keeps customers
     without sales and moves one row per customer instead of every sales line."""
-    activity = sales.filter(F.col("customer_key").isNotNull()).groupBy("customer_key").agg(
-        F.count_distinct("order_number").alias("orders"),
-        F.count_distinct("product_key").alias("products"),
+    activity = group_with_distinct(sales, "customer_key", [
         F.sum("sales_amount").alias("sales"),
         F.sum("quantity").alias("items"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("last_order"),
-    )
+    ], {"orders": "order_number", "products": "product_key"})
     zero = F.lit(0).cast("bigint")
     facts = customers.join(activity, "customer_key", "left").select(
         "customer_key",
@@ -72,18 +71,14 @@ def report_customers(job: Job, customers: DataFrame, sales: DataFrame) -> DataFr
 def report_products(job: Job, products: DataFrame, sales: DataFrame) -> DataFrame:
     """Products with at least one dated sale; others are not listed."""
     unit_price = F.col("sales_amount").cast("double") / F.nullif("quantity", F.lit(0))
-    activity = (
-        sales.filter(F.col("product_key").isNotNull()).groupBy("product_key").agg(
-            F.count_distinct("order_number").alias("total_orders"),
-            F.count_distinct("customer_key").alias("total_customers"),
-            sum_or_zero(F.col("sales_amount")).alias("total_sales"),
-            sum_or_zero(F.col("quantity")).alias("total_quantity"),
-            F.round(F.avg(unit_price), 1).alias("avg_selling_price"),
-            F.min("order_date").alias("first_sale_date"),
-            F.max("order_date").alias("last_sale_date"),
-        )
-        .filter(F.col("last_sale_date").isNotNull())
-    )
+    activity = group_with_distinct(sales, "product_key", [
+        sum_or_zero(F.col("sales_amount")).alias("total_sales"),
+        sum_or_zero(F.col("quantity")).alias("total_quantity"),
+        F.round(F.avg(unit_price), 1).alias("avg_selling_price"),
+        F.min("order_date").alias("first_sale_date"),
+        F.max("order_date").alias("last_sale_date"),
+    ], {"total_orders": "order_number", "total_customers": "customer_key"})
+    activity = activity.filter(F.col("last_sale_date").isNotNull())
     total = F.col("total_sales")
     months = month_diff(F.col("first_sale_date"), F.col("last_sale_date"))
     return products.join(activity, "product_key").select(
