@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CUST_INFO = """
 select cast(case when c_custkey % 97 = 0 then null else c_custkey end as int) cst_id,
- concat('AW', lpad(cast(c_custkey as string), 8, '0')) cst_key,
+ concat('AW', {customer_digits}) cst_key,
  case when c_custkey % 5 = 0 then concat('  ', c_mktsegment) else c_mktsegment end cst_firstname,
  case when c_custkey % 7 = 0 then concat(c_name, ' ') when c_custkey % 83 = 0 then null else c_name end cst_lastname,
  case c_custkey % 4 when 0 then 'S' when 1 then ' m ' when 2 then null else 'X' end cst_marital_status,
@@ -19,14 +19,14 @@ select cast(case when c_custkey % 97 = 0 then null else c_custkey end as int) cs
  date'2025-10-01' + cast(c_custkey % 120 as int) cst_create_date
 from {customer}
 union all
-select cast(c_custkey as int), concat('AW', lpad(cast(c_custkey as string), 8, '0')), 'STALE', c_name, null, null,
+select cast(c_custkey as int), concat('AW', {customer_digits}), 'STALE', c_name, null, null,
  date'2024-01-01' + cast(c_custkey % 120 as int) from {customer} where c_custkey % 10 = 0 and c_custkey % 97 <> 0
 """
 
 # One to three versions per part; {versions} makes the rows (p_*, v) with v = 0 .. p_partkey % 3.
 PRD_INFO = """
 select cast(p_partkey * 3 + v as int) prd_id,
- concat(case p_type when 'ECONOMY' then 'EC-ON' when 'MEDIUM' then 'ME-DI' when 'SMALL' then 'SM-AL' when 'LARGE' then 'LA-RG' when 'STANDARD' then 'ST-AN' else 'PR-OM' end, '-P', lpad(cast(p_partkey as string), 7, '0')) prd_key,
+ concat(case p_type when 'ECONOMY' then 'EC-ON' when 'MEDIUM' then 'ME-DI' when 'SMALL' then 'SM-AL' when 'LARGE' then 'LA-RG' when 'STANDARD' then 'ST-AN' else 'PR-OM' end, '-P', {part_digits}) prd_key,
  concat(' ', p_name) prd_nm,
  case when p_partkey % 50 = 0 then null else cast(floor(p_retailprice) as int) + v end prd_cost,
  case p_size % 5 when 0 then 'M ' when 1 then 'r' when 2 then 'S' when 3 then ' T' else null end prd_line,
@@ -42,7 +42,7 @@ DUCKDB_VERSIONS = (
 )
 
 SALES_DETAILS = """
-select concat('SO', cast(l_orderkey as string)) sls_ord_num, concat('P', lpad(cast(l_partkey as string), 7, '0')) sls_prd_key,
+select concat('SO', cast(l_orderkey as string)) sls_ord_num, concat('P', {line_part_digits}) sls_prd_key,
  cast(case when l_orderkey % 331 = 0 then -1 else o_custkey end as int) sls_cust_id,
  case when l_linenumber = 1 and l_orderkey % 7 = 0 then 0 when l_linenumber = 2 and l_orderkey % 11 = 0 then 32154 when l_linenumber = 3 and l_orderkey % 13 = 0 then 5489
   else cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as int) end sls_order_dt,
@@ -57,14 +57,14 @@ from (select *, cast(case when o_custkey % 13 = 0 then 1 else l_quantity end as
 """
 
 CUST_AZ12 = """
-select concat(case when c_custkey % 2 = 0 then 'NAS' else '' end, 'AW', lpad(cast(c_custkey as string), 8, '0')) cid,
+select concat(case when c_custkey % 2 = 0 then 'NAS' else '' end, 'AW', {customer_digits}) cid,
  case when c_custkey % 89 = 0 then date'2050-01-01' else date'1905-01-01' + cast((c_custkey * 37) % 40000 as int) end bdate,
  case c_custkey % 6 when 0 then 'Male' when 1 then 'F' when 2 then ' female' when 3 then 'M ' when 4 then '' else null end gen
 from {customer} where c_custkey % 29 <> 0
 """
 
 LOC_A101 = """
-select concat('AW-', lpad(cast(case when c_custkey % 61 = 0 then c_custkey + 90000000 else c_custkey end as string), 8, '0')) cid,
+select concat('AW-', {location_digits}) cid,
  case c_nationkey % 9 when 0 then 'DE' when 1 then 'Germany' when 2 then 'USA' when 3 then ' us' when 4 then 'United Kingdom' when 5 then 'Australia ' when 6 then 'CAN' when 7 then 'fr' else '' end cntry
 from {customer}
 """
@@ -90,16 +90,39 @@ EXTRACT_SQL = {
 _GIVEN = ("customer", "part", "lineitem", "orders")
 
 
+def _digits(number: str, width: int) -> str:
+    """Zero-padded number; longer numbers keep all digits (lpad alone would cut them)."""
+    text = f"cast({number} as string)"
+    return f"lpad({text}, greatest({width}, cast(length({text}) as int)), '0')"
+
+
+_DIGITS = {
+    "customer_digits": _digits("c_custkey", 8),
+    # Some locations belong to no customer.
+    "location_digits": _digits(
+        "case when c_custkey % 61 = 0 then c_custkey + 90000000 else c_custkey end", 8
+    ),
+    "part_digits": _digits("p_partkey", 7),
+    "line_part_digits": _digits("l_partkey", 7),
+}
+
+
+def _text(table: str, versions: str) -> str:
+    text = EXTRACT_SQL[table].replace("{versions}", versions)
+    for name, expression in _DIGITS.items():
+        text = text.replace(f"{{{name}}}", expression)
+    return text.strip()
+
+
 def spark_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     given = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in _GIVEN}
     extracts = {}
-    for table, text in EXTRACT_SQL.items():
-        text = text.replace("{versions}", SPARK_VERSIONS)
+    for table in EXTRACT_SQL:
+        text = _text(table, SPARK_VERSIONS)
         used = {name: df for name, df in given.items() if f"{{{name}}}" in text}
         extracts[table] = spark.sql(text, **used)
     return extracts
 
 
 def duckdb_extract(table: str) -> str:
-    text = EXTRACT_SQL[table].replace("{versions}", DUCKDB_VERSIONS)
-    return text.format(**{name: name for name in _GIVEN}).strip()
+    return _text(table, DUCKDB_VERSIONS).format(**{name: name for name in _GIVEN})

@@ -33,10 +33,14 @@ OPERATOR_ORACLE: dict[str, str] = {
     ),
     "s5_table_scan": "select * from bronze_crm_sales_details",
     "s6_sql_on_views": """
-select country, category, sum(quantity)::bigint as items
+select country, category,
+  case when a.customer_key is null then null when months >= 12 and sales >= 5000 then 'VIP'
+    when months >= 12 then 'Regular' else 'New' end as customer_category,
+  sum(quantity)::bigint as items
 from gold_fact_sales f
   left join gold_dim_customer c on f.customer_key = c.customer_key
   left join gold_dim_product p on f.product_key = p.product_key
+  left join customer_activity a on f.customer_key = a.customer_key
 group by all""",
     "t7_load_bronze": _log("bronze"),
     "t8_load_silver": _log("silver"),

@@ -105,11 +105,12 @@ def sql_on_views(b: Build) -> DataFrame:
     b.gold("fact_sales")
     b.store.register_views()
     return b.job.spark.sql("""
-        select c.country, p.category, sum(s.quantity) as items
+        select c.country, p.category, r.customer_category, sum(s.quantity) as items
         from gold_fact_sales s
           left join gold_dim_customer c on c.customer_key = s.customer_key
           left join gold_dim_product p on p.product_key = s.product_key
-        group by c.country, p.category""")
+          left join gold_report_customers r on r.customer_key = s.customer_key
+        group by c.country, p.category, r.customer_category""")
 
 
 # Predicates, projections and functions

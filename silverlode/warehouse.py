@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode import schemas
 from silverlode.job import Job
-from silverlode.plans import gold, silver
+from silverlode.plans import gold, reports, silver
 from silverlode.sources import RunLog, full_reload, read_extract
 
 _SCHEMAS = {"bronze": schemas.BRONZE, "silver": schemas.SILVER, "gold": schemas.GOLD}
@@ -106,11 +106,19 @@ class Warehouse:
             },
         ])
 
+    def report_customers(self) -> DataFrame:
+        return reports.report_customers(self.job, self.gold("dim_customer"), self.gold("fact_sales"))
+
+    def report_products(self) -> DataFrame:
+        return reports.report_products(self.job, self.gold("dim_product"), self.gold("fact_sales"))
+
     def register_views(self) -> None:
-        """Make every stored table a view named <layer>_<table> for SQL users."""
+        """Make every stored table and report a view named <layer>_<table> for SQL users."""
         for layer, tables in _SCHEMAS.items():
             for table in tables:
                 self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
+        self.report_customers().createOrReplaceTempView("gold_report_customers")
+        self.report_products().createOrReplaceTempView("gold_report_products")
 
     def _load(
         self, layer: str, steps: list[dict[str, Callable[[], DataFrame]]],
