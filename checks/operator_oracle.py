@@ -16,7 +16,7 @@ def _log(layer: str) -> str:
     )
     return f"""
 with t as ({tables})
-select '{layer}' as layer, table_name, n as rows_loaded, 0 as rows_rejected, 'ok' as status from t
+select '{layer}' as layer, table_name, n as rows_loaded, 0::bigint as rows_rejected, 'ok' as status from t
 union all select '{layer}', '(all)', sum(n)::bigint, null, 'ok' from t"""
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +33,24 @@ class Build:
         self.extracts = extracts
         self.store = Warehouse(self.job)
         self._loaded: set[str] = set()
+        self._loading = threading.Lock()
 
     def _need(self, layer: str) -> Warehouse:
-        order = ["bronze", "silver", "gold"]
-        for step in order[: order.index(layer) + 1]:
-            if step not in self._loaded:
-                if step == "bronze":
-                    self.store.load_bronze(
-                        self.extracts or spark_extracts(self.job.spark, self.sf_dir)
-                    )
-                elif step == "silver":
-                    self.store.load_silver()
-                else:
-                    self.store.load_gold()
-                self._loaded.add(step)
-        return self.store
+        loads = {
+            "bronze": lambda: self.store.load_bronze(
+                self.extracts or spark_extracts(self.job.spark, self.sf_dir)
+            ),
+            "silver": self.store.load_silver,
+            "gold": self.store.load_gold,
+        }
+        with self._loading:
+            for step, load in loads.items():
+                if step not in self._loaded:
+                    load()
+                    self._loaded.add(step)
+                if step == layer:
+                    return self.store
+        raise ValueError(f"unknown layer {layer}")
 
     def bronze(self, table: str) -> DataFrame:
         return self._need("bronze").bronze(table)
@@ -71,13 +75,15 @@ class Build:
 
 
 _BUILDS: dict[tuple[str, str], Build] = {}
+_BUILDING = threading.Lock()
 
 
 def build(spark: SparkSession, sf_dir: str) -> Build:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _BUILDS:
-        _BUILDS[key] = Build(spark, sf_dir)
-    return _BUILDS[key]
+    with _BUILDING:
+        if key not in _BUILDS:
+            _BUILDS[key] = Build(spark, sf_dir)
+        return _BUILDS[key]
 
 
 def _query(answer: Callable[[Build], DataFrame]) -> Query:
