@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 class Limits:
     """Sizes at which a plan changes its way of moving rows. Results never depend on them."""
 
-    # A join side is broadcast only when it was counted and has at most this many rows.
+    # A join side is broadcast only when it was measured and has at most this many rows and
+    # this many bytes of values.
     broadcast_rows: int = 250_000
+    broadcast_bytes: int = 64 * 1024 * 1024
     # A key value with more rows than this is hot and is spread over several tasks.
     hot_rows: int = 1_000_000
     # At most this many key values can be hot: the hot limit grows with the table.

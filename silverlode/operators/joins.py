@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,18 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataF
     return df.join(side, match, "left_anti"), df.join(side, match, "left_semi")
 
 
+def is_small(job: Job, df: DataFrame) -> bool:
+    """Whether `df` may be broadcast: its rows and the bytes of its values are counted, since
+    the declared text lengths are not enforced."""
+    values = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in df.columns]
+    size = df.agg(
+        F.count("*").alias("rows"),
+        F.coalesce(F.sum(reduce(Column.__add__, values).cast("bigint")), F.lit(0)).alias("bytes"),
+    ).first()
+    limits = job.limits
+    return size["rows"] <= limits.broadcast_rows and size["bytes"] <= limits.broadcast_bytes
+
+
 def balanced_join(
     job: Job, left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     how: str = "left", left_source: DataFrame | None = None,
@@ -62,7 +76,7 @@ def balanced_join(
     When `left` already is a join, `left_source` names the stored table its rows come from: hot
     keys are looked up there, and `left` has to carry the row numbers of `number_rows`.
 
-    - right side counted and small: broadcast, the left side does not move;
+    - right side small, as measured: broadcast, the left side does not move;
     - otherwise a shuffle join; if a key is hot on either side, its rows are dealt over a grid
       of cells (left rows over the cell rows, right rows over the cell columns) and each cell is
       joined alone. Every matching pair still meets exactly once.
@@ -72,7 +86,7 @@ def balanced_join(
     if how == "left_semi":
         right = right.select(right_key).distinct()
     on_key = F.col(left_key) == F.col(right_key)
-    if right.count() <= job.limits.broadcast_rows:
+    if is_small(job, right):
         return left.join(F.broadcast(right), on_key, how)
 
     hot_left = hot_keys(job, left if left_source is None else left_source, left_key)

@@ -19,6 +19,7 @@ from silverlode.operators import (
     with_group_max,
     with_next_value,
 )
+from silverlode.operators.joins import is_small
 
 
 def stored(job, values, schema, parts=3):
@@ -158,6 +159,13 @@ def test_join_is_broadcast_only_below_the_limit(spark, skewed, hot_job):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_wide_rows_are_not_small(spark, job):
+    df = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("text"))
+    assert is_small(Job(spark, limits=Limits(broadcast_bytes=10_010), folder=job.folder), df)
+    assert not is_small(Job(spark, limits=Limits(broadcast_bytes=10_009), folder=job.folder), df)
+    assert is_small(job, df.filter("id > 99"))
+
+
 def test_unknown_join_type_is_refused(job, skewed):
     with pytest.raises(ValueError):
         balanced_join(job, skewed, skewed, "k", "k", "full")
