@@ -29,8 +29,8 @@ def hot_keys(job: Job, df: DataFrame, key: str) -> DataFrame | None:
     when there are none.
 
     `df` is a stored table: its row count comes from the file footers, and a table smaller than
-    the limit ends here. Else the key column is sampled, thinly enough that only about a million
-    sampled rows are grouped. Which keys count as hot decides how rows are spread, never which
+    the limit ends here. Else the key column is sampled, thinly enough that about ten million
+    sampled rows at most are grouped. Which keys count as hot decides how rows are spread, never which
     rows come out, so the sample cannot change a result. At most `2 * hot_keys` values can
     qualify, which bounds what is broadcast.
     """
