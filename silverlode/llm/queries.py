@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.llm.decontamination import contamination
+from silverlode.llm.near_dedup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(spark, docs, keep_text=False)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
