@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silverlode.llm.decontamination import contamination
 from silverlode.llm.near_dedup import near_duplicates
+from silverlode.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +24,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(spark, docs, keep_text=False)
@@ -29,5 +40,6 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op9_packing": op9_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }

@@ -165,3 +165,15 @@ def unfold(df: DataFrame, row: DataFrame, results: dict[str, Column]) -> DataFra
         F.col("_row").getField(name).alias(name) for name in row.columns if name not in results
     ]
     return df.select(*kept, *(column.alias(name) for name, column in results.items()))
+
+
+def distinct_runs(
+    points: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[list[str], np.ndarray]:
+    """The distinct runs as strings, and for each run which of them it is."""
+    _, first, which = np.unique(
+        run_hashes(points, starts, ends), return_index=True, return_inverse=True
+    )
+    joined = points.astype("<u4", copy=False).tobytes().decode("utf-32-le", "surrogatepass")
+    pairs = zip(starts[first].tolist(), ends[first].tolist())
+    return [joined[start:end] for start, end in pairs], which
