@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from silverlode.llm.decontamination import contamination
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
+from silverlode.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts(spark, docs, model, keep_text=False)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -40,6 +47,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op7_token_counts": op7_token_counts,
         "op9_packing": op9_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
