@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from silverlode.llm import quality_rules
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -33,6 +35,57 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
 
+_PHRASES = " OR ".join(f"contains(lower(line), '{phrase}')" for phrase in quality_rules.PHRASES)
+_CLOSING = ", ".join("'" + sign.replace("'", "''") + "'" for sign in quality_rules.CLOSING)
+_SEPARATORS = ", ".join(f"'{sign}'" for sign in quality_rules.SEPARATORS)
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+OP5 = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w
+  FROM documents),
+line AS (
+  SELECT r, k, line, regexp_extract_all(line, '{_SPACED}') AS w,
+         length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS signs
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS k FROM doc)),
+judged AS (
+  SELECT r, list_sum(list_transform(w, lambda x: length(x))) AS chars,
+         row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS again,
+         5 * signs > len(w)
+         OR (len(w) >= 3 AND 3 * len(list_filter(w, lambda x: x[-1] IN ('!', '?'))) > len(w))
+         OR (len(w) <= 3 AND NOT w[-1][-1] IN ({_CLOSING}))
+         OR (len(list_filter(w, lambda x: x IN ({_SEPARATORS}))) >= 2
+             AND 4 * len(list_filter(w, lambda x: x IN ({_SEPARATORS}))) >= len(w))
+         OR {_PHRASES} AS failed
+  FROM line WHERE len(w) > 0),
+lost AS (
+  SELECT r, sum(CASE WHEN failed OR again THEN chars ELSE 0 END) AS lost,
+         sum(CASE WHEN again THEN 1 ELSE 0 END) AS dup
+  FROM judged GROUP BY r),
+gram AS (
+  SELECT r, k, count(*) OVER (PARTITION BY r, gram) AS times
+  FROM (SELECT r, k, w[k:k + 2] AS gram
+        FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS k FROM doc WHERE len(w) >= 3))),
+repeated AS (
+  SELECT r, count(DISTINCT j) AS n
+  FROM (SELECT r, unnest([k, k + 1, k + 2]) AS j FROM gram WHERE times > 1) GROUP BY r),
+counted AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT)
+           AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
+  FROM doc LEFT JOIN lost USING (r) LEFT JOIN repeated USING (r))
+SELECT *, n_words < 50 OR 2 * n_repeat_words > n_words AS base_failed,
+       NOT (n_words < 50 OR 2 * n_repeat_words > n_words) AND 10 * lost_chars <= 3 * word_chars
+         AS kept
+FROM counted
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3}
+    return {"op3_decontamination": OP3, "op5_quality_rules": OP5}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from silverlode.llm.decontamination import contamination
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
+from silverlode.llm.quality_rules import clean_lines
 from silverlode.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = clean_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "lost_chars",
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -47,6 +56,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_decontamination": op3_decontamination,
+        "op5_quality_rules": op5_quality_rules,
         "op7_token_counts": op7_token_counts,
         "op9_packing": op9_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
