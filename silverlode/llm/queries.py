@@ -13,6 +13,7 @@ from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
 from silverlode.llm.quality_rules import clean_lines
 from silverlode.llm.token_counts import token_counts
+from silverlode.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,13 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(spark, docs, model, keep_text=False)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(spark, docs, _table(spark, sf_dir, "labels"), keep_text=False)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("segments")
+                         .alias("n_segments"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -58,6 +66,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op5_quality_rules": op5_quality_rules,
         "op7_token_counts": op7_token_counts,
+        "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
