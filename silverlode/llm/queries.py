@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm.decontamination import contamination
+from silverlode.llm.language_id import language_mixtures
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
 from silverlode.llm.quality_rules import clean_lines
@@ -22,6 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    mixed = language_mixtures(spark, docs, keep_text=False)
+    return mixed.select("doc_id", "held_out", "lang_pred", "score", F.size("languages")
+                        .alias("n_languages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
@@ -63,6 +71,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_language_id": op2_language_id,
         "op3_decontamination": op3_decontamination,
         "op5_quality_rules": op5_quality_rules,
         "op7_token_counts": op7_token_counts,
