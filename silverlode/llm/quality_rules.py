@@ -128,13 +128,13 @@ def _judge(texts) -> list[pa.Array]:
     return [
         per_text(words.row), per_text(words.row, size),
         per_text(tx.rows_at(offsets, np.flatnonzero(symbol))), per_text(row_of_line, again),
-        per_text(words.row, _repeated(points, words)), per_text(row_of_line, chars * failed),
+        per_text(words.row, repeated_words(points, words)), per_text(row_of_line, chars * failed),
         pa.array(_without(texts, failed, np.searchsorted(row_of_line, np.arange(count + 1))),
                  pa.string()),
     ]
 
 
-def _repeated(points: np.ndarray, words: tx.Runs) -> np.ndarray:
+def repeated_words(points: np.ndarray, words: tx.Runs) -> np.ndarray:
     """Which words lie in a three-word window that their text has at least twice."""
     found = np.zeros(len(words.row), bool)
     windows = np.flatnonzero(words.row[2:] == words.row[:-2])

@@ -12,6 +12,7 @@ from silverlode.llm.decontamination import contamination
 from silverlode.llm.language_id import language_mixtures
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
+from silverlode.llm.quality_model import quality
 from silverlode.llm.quality_rules import clean_lines
 from silverlode.llm.token_counts import token_counts
 from silverlode.llm.toxicity import toxicity
@@ -35,6 +36,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    scored = quality(spark, docs, _table(spark, sf_dir, "labels"), keep_text=False)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = clean_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -73,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_language_id": op2_language_id,
         "op3_decontamination": op3_decontamination,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_quality_rules": op5_quality_rules,
         "op7_token_counts": op7_token_counts,
         "op8_toxicity": op8_toxicity,

@@ -39,11 +39,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: Sequence[str | None], limit: int = SLICE) -> Iterator[tuple[int, int]]:
+def slices(
+    texts: Sequence, limit: int = SLICE, length: Callable = lambda text: len(text or "")
+) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about `limit` code points each, at least one row each."""
     first = size = 0
     for row, text in enumerate(texts):
-        size += len(text or "")
+        size += length(text)
         if size >= limit:
             yield first, row + 1
             first, size = row + 1, 0
@@ -128,9 +130,8 @@ def segments(row: np.ndarray, rows: int) -> np.ndarray:
 
 
 def map_texts(
-    df: DataFrame, fields: Sequence[T.StructField],
-    compute: Callable[[list[str | None]], list[pa.Array]], text: str = "_text",
-    limit: int = SLICE,
+    df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[list], list[pa.Array]],
+    text: str = "_text", limit: int = SLICE, length: Callable = lambda text: len(text or ""),
 ) -> DataFrame:
     """`df` without its text column, with the fields that `compute` gives for each text."""
     rest = [field for field in df.schema.fields if field.name != text]
@@ -141,7 +142,7 @@ def map_texts(
         for batch in batches:
             column = batch.schema.get_field_index(text)
             texts = batch.column(column).to_pylist()
-            for first, end in slices(texts, limit):
+            for first, end in slices(texts, limit, length):
                 kept = [
                     batch.column(batch.schema.get_field_index(name)).slice(first, end - first)
                     for name in names
