@@ -4,6 +4,34 @@ from __future__ import annotations
 
 from silverlode.llm import quality_rules
 
+OP1 = r"""
+WITH page AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines
+  FROM documents),
+line AS (
+  SELECT DISTINCT r, source, line FROM (SELECT r, source, unnest(lines) AS line FROM page)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+total AS (SELECT source, count(*) AS pages FROM page GROUP BY source),
+plate AS (
+  SELECT l.source, l.line
+  FROM line l JOIN total t ON l.source IS NOT DISTINCT FROM t.source
+  GROUP BY l.source, l.line, t.pages HAVING count(*) >= 5 AND count(*) > 0.1 * t.pages),
+kept AS (
+  SELECT r, array_agg(line ORDER BY k) FILTER (WHERE NOT dropped) AS lines,
+         count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
+  FROM (SELECT u.r, u.k, u.line, p.line IS NOT NULL AS dropped
+        FROM (SELECT r, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS k
+              FROM page) u
+        LEFT JOIN plate p ON u.line = p.line AND u.source IS NOT DISTINCT FROM p.source)
+  GROUP BY r)
+SELECT doc_id, source,
+       CASE WHEN text IS NULL THEN NULL ELSE coalesce(array_to_string(kept.lines, chr(10)), '')
+       END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped
+FROM page LEFT JOIN kept USING (r)
+"""
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -88,4 +116,4 @@ FROM counted
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": OP3, "op5_quality_rules": OP5}
+    return {"op1_line_dedup": OP1, "op3_decontamination": OP3, "op5_quality_rules": OP5}

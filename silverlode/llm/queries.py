@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from silverlode.llm.decontamination import contamination
 from silverlode.llm.language_id import language_mixtures
+from silverlode.llm.license_scan import license_scan
+from silverlode.llm.line_dedup import drop_boilerplate
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
 from silverlode.llm.quality_model import quality
@@ -24,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return drop_boilerplate(spark, pages)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     mixed = language_mixtures(spark, docs, keep_text=False)
@@ -50,6 +57,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -78,10 +89,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_language_id": op2_language_id,
         "op3_decontamination": op3_decontamination,
         "op4_quality_classifier": op4_quality_classifier,
         "op5_quality_rules": op5_quality_rules,
+        "op6_license_scan": op6_license_scan,
         "op7_token_counts": op7_token_counts,
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
