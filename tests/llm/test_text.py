@@ -1,0 +1,53 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from silverlode.llm import text as tx
+from silverlode.llm.filters import bitmap, probe
+
+texts = st.lists(st.one_of(st.none(), st.text(max_size=30)), max_size=8)
+
+
+@given(texts)
+@settings(max_examples=60, deadline=None)
+def test_words_are_the_runs_of_the_class(values):
+    points, offsets = tx.code_points(values)
+    words = tx.runs(tx.word_mask(points), offsets)
+    joined = "".join(value or "" for value in values)
+    got = [[] for _ in values]
+    for start, end, row in zip(words.starts, words.ends, words.row):
+        got[row].append(joined[start:end])
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[A-Z]+")
+    pattern = re.compile(r"(?:[^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z])+")
+    assert got == [pattern.findall(value or "") for value in values]
+
+
+@given(texts)
+@settings(max_examples=60, deadline=None)
+def test_equal_runs_have_equal_hashes_wherever_they_lie(values):
+    points, offsets = tx.code_points(values)
+    words = tx.runs(tx.spaced_mask(points), offsets)
+    hashes = tx.run_hashes(points, words.starts, words.ends)
+    joined = "".join(value or "" for value in values)
+    names = [joined[a:b] for a, b in zip(words.starts, words.ends)]
+    assert len(set(hashes.tolist())) == len(set(names))
+    assert len(set(zip(hashes.tolist(), names))) == len(set(names))
+
+
+def test_slices_cover_all_rows_once():
+    values = ["ab", None, "c" * 50, "", "d"]
+    cut = list(tx.slices(values, 10))
+    assert cut == [(0, 3), (3, 5)]
+    assert list(tx.slices([], 10)) == []
+
+
+def test_bitmap_holds_every_hash(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(2000).select(F.xxhash64("id").alias("h"))
+    table = np.frombuffer(bitmap(df, F.col("h"), 1 << 20), np.uint8)
+    known = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
+    assert probe(table, known).all()
+    assert probe(table, known + np.uint64(1)).mean() < 0.05
