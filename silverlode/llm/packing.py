@@ -2,15 +2,15 @@
 
 The documents of a partition, in its order, are one run of ids, each document ended by an id.
 Window cuts are chosen among places: ends of documents (free), ends of sentences or lines (a
-small penalty), and, only inside stretches without either, a place every 256 ids (a larger one).
+small penalty), and, only inside stretches without either, a place every 64 ids (a larger one).
 For places p the least cost of ending a window at p is
 
     cost(p) = penalty(p) + min over q with p - q <= 4096 of cost(q) + 4096 - (p - q)
 
 and since cost(q) + q decides, the minimum over the sliding range is kept in a monotone queue:
-one step per place. A partition streams through in blocks of about a million ids; the last,
-unfinished window of a block goes on into the next, so a partition pads one window at most
-beyond what its cuts cost. No shuffle: sequences never cross partitions, and a sequence id holds
+one step per place. A partition streams through in blocks of about a million ids; a block is cut
+up to the place of least cost in its last 4096 ids, and the rest goes on into the next block, so
+only the end of a partition leaves a window unfilled. No shuffle: sequences never cross partitions, and a sequence id holds
 the number of its partition. A repeated task makes the same sequences.
 
 Null and empty texts are documents of the end id alone. Documents of any length are cut as
@@ -20,6 +20,7 @@ needed. Repeated rows are packed one by one. An empty table gives no piece.
 from __future__ import annotations
 
 import itertools
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
@@ -35,9 +36,9 @@ from silverlode.llm.word_bpe import word_bpe
 
 LENGTH = 4096
 BLOCK = 1_000_000
-SENTENCE_PENALTY = 16
-INNER_PENALTY = 64
-INNER_STEP = 256
+SENTENCE_PENALTY = 8
+INNER_PENALTY = 48
+INNER_STEP = 64
 
 
 def pack(
@@ -111,10 +112,8 @@ class Packer:
             ends + low for (_, _, _, ends), low in zip(self.waiting, first) if len(ends)
         ]
         cuts = best_cuts(
-            np.concatenate([*marks, np.zeros(0, np.int64)]), first + sizes, self.length
+            np.concatenate([*marks, np.zeros(0, np.int64)]), first + sizes, self.length, all_of_it
         )
-        if not all_of_it:
-            cuts = cuts[:-1]
         found, row = [], 0
         for low, high in zip(cuts[:-1], cuts[1:]):
             sequence = next(self.sequence)
@@ -140,8 +139,11 @@ class Packer:
         return found
 
 
-def best_cuts(sentence_ends: np.ndarray, doc_ends: np.ndarray, length: int = LENGTH) -> list[int]:
-    """Cuts from 0 to the last document's end that cost least, as the module describes."""
+def best_cuts(
+    sentence_ends: np.ndarray, doc_ends: np.ndarray, length: int = LENGTH, to_end: bool = True
+) -> list[int]:
+    """Cuts from 0 to the last document's end that cost least, as the module describes; or, not
+    to the end, to the cheapest place of the last `length` ids."""
     total = int(doc_ends[-1]) if len(doc_ends) else 0
     if not total:
         return [0]
@@ -168,7 +170,11 @@ def best_cuts(sentence_ends: np.ndarray, doc_ends: np.ndarray, length: int = LEN
         while queue and keyed[queue[-1]] > key:
             queue.pop()
         queue.append(j)
-    cuts, j = [total], len(places) - 1
+    j = len(places) - 1
+    if not to_end:
+        last = range(bisect_left(places, max(total - length, 1)), len(places))
+        j = min(last, key=lambda k: (keyed[k] - places[k], -k))
+    cuts = [places[j]]
     while j:
         j = came_from[j]
         cuts.append(places[j])
