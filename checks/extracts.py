@@ -1,8 +1,9 @@
 """Dirty extracts derived from the given tables, as SQL that Spark and DuckDB both run.
 
 `{name}` stands for a given table. The rows contain what the cleaning rules repair: missing and
-repeated ids, padded and mixed-case codes, missing costs, impossible dates, contradictory money,
-prefixed and hyphenated ids, future birthdates, locations without a customer.
+repeated ids, padded and mixed-case codes, missing costs, dates as years, as six digits and
+impossible ones, wrong end dates, contradictory money, prefixed and hyphenated ids, future
+birthdates, locations without a customer. Every given row of a table is delivered.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ select cast(case when c_custkey % 97 = 0 then null else c_custkey end as int) cs
  case c_custkey % 4 when 0 then 'S' when 1 then ' m ' when 2 then null else 'X' end cst_marital_status,
  case c_custkey % 5 when 0 then 'M' when 1 then 'f ' when 2 then null when 3 then 'F' else 'm' end cst_gndr,
  date'2025-10-01' + cast(c_custkey % 120 as int) cst_create_date
-from {customer}
+from {customers}
 union all
 select cast(c_custkey as int), concat('AW', {customer_digits}), 'STALE', c_name, null, null,
  date'2024-01-01' + cast(c_custkey % 120 as int) from {customer} where c_custkey % 10 = 0 and c_custkey % 97 <> 0
@@ -26,25 +27,36 @@ select cast(c_custkey as int), concat('AW', {customer_digits}), 'STALE', c_name,
 # One to three versions per part; {versions} makes the rows (p_*, v) with v = 0 .. p_partkey % 3.
 PRD_INFO = """
 select cast(p_partkey * 3 + v as int) prd_id,
- concat(case p_type when 'ECONOMY' then 'EC-ON' when 'MEDIUM' then 'ME-DI' when 'SMALL' then 'SM-AL' when 'LARGE' then 'LA-RG' when 'STANDARD' then 'ST-AN' else 'PR-OM' end, '-P', {part_digits}) prd_key,
+ concat(case p_type when 'ECONOMY' then 'EC-ON' when 'MEDIUM' then 'ME-DI' when 'SMALL' then 'SM-AL' when 'LARGE' then 'LA-RG' when 'STANDARD' then 'ST-AN' else 'PR-OM' end, '-', {part_number}) prd_key,
  concat(' ', p_name) prd_nm,
  case when p_partkey % 50 = 0 then null else cast(floor(p_retailprice) as int) + v end prd_cost,
  case p_size % 5 when 0 then 'M ' when 1 then 'r' when 2 then 'S' when 3 then ' T' else null end prd_line,
  date'1994-07-01' + cast(v * 365 as int) prd_start_dt,
- cast(null as date) prd_end_dt
+ case v when 0 then date'1994-06-01' when 1 then date'2007-12-28' end prd_end_dt
 from {versions}
 """
+# Products that were never sold and customers who never bought, beside the given ones.
+MEMBERS = {
+    "{parts}": "(select p_partkey, p_name, p_type, p_size, p_retailprice from {part} union all "
+    "select p_partkey + 90000000, p_name, p_type, p_size, p_retailprice from {part} "
+    "where p_partkey % 40 = 0) members",
+    "{customers}": "(select c_custkey, c_name, c_mktsegment from {customer} union all "
+    "select c_custkey + 70000000, c_name, c_mktsegment from {customer} "
+    "where c_custkey % 50 = 0) members",
+}
 SPARK_VERSIONS = (
-    "(select *, explode(sequence(0, cast(p_partkey % 3 as int))) v from {part}) parts"
+    "(select *, explode(sequence(0, cast(p_partkey % 3 as int))) v from {parts}) versions"
 )
 DUCKDB_VERSIONS = (
-    "(select *, unnest(range(0, cast(p_partkey % 3 as int) + 1))::int v from {part}) parts"
+    "(select *, unnest(range(0, cast(p_partkey % 3 as int) + 1))::int v from {parts}) versions"
 )
 
 SALES_DETAILS = """
-select concat('SO', cast(l_orderkey as string)) sls_ord_num, concat('P', {line_part_digits}) sls_prd_key,
+select concat('SO', cast(l_orderkey as string)) sls_ord_num, {line_part_number} sls_prd_key,
  cast(case when l_orderkey % 331 = 0 then -1 else o_custkey end as int) sls_cust_id,
  case when l_linenumber = 1 and l_orderkey % 7 = 0 then 0 when l_linenumber = 2 and l_orderkey % 11 = 0 then 32154 when l_linenumber = 3 and l_orderkey % 13 = 0 then 5489
+  when l_linenumber = 4 and l_orderkey % 37 = 0 then year(o_orderdate) when l_linenumber = 4 and l_orderkey % 41 = 0 then cast(year(o_orderdate) % 100 * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as int)
+  when l_linenumber = 5 and l_orderkey % 43 = 0 then 101229 when l_linenumber = 5 and l_orderkey % 47 = 0 then 991341
   else cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) as int) end sls_order_dt,
  cast(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) as int) sls_ship_dt,
  cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 28 as int) sls_due_dt,
@@ -53,14 +65,14 @@ select concat('SO', cast(l_orderkey as string)) sls_ord_num, concat('P', {line_p
  case when l_orderkey % 29 = 0 then null when l_orderkey % 31 = 0 then -1 * p else p end sls_price
 from (select *, cast(case when o_custkey % 13 = 0 then 1 else l_quantity end as int) q,
   cast(floor(l_extendedprice / l_quantity / (case when o_custkey % 13 = 0 then 20 when l_partkey % 9 = 0 then 4 when l_partkey % 9 = 1 then 2 else 1 end)) as int) p
- from {lineitem} join {orders} on l_orderkey = o_orderkey where l_partkey % 40 <> 0 and o_custkey % 50 <> 0) t
+ from {lineitem} join {orders} on l_orderkey = o_orderkey) t
 """
 
 CUST_AZ12 = """
 select concat(case when c_custkey % 2 = 0 then 'NAS' else '' end, 'AW', {customer_digits}) cid,
  case when c_custkey % 89 = 0 then date'2050-01-01' else date'1905-01-01' + cast((c_custkey * 37) % 40000 as int) end bdate,
  case c_custkey % 6 when 0 then 'Male' when 1 then 'F' when 2 then ' female' when 3 then 'M ' when 4 then '' else null end gen
-from {customer} where c_custkey % 29 <> 0
+from {customer}
 """
 
 LOC_A101 = """
@@ -96,19 +108,26 @@ def _digits(number: str, width: int) -> str:
     return f"lpad({text}, greatest({width}, cast(length({text}) as int)), '0')"
 
 
+def _number(part: str) -> str:
+    return f"concat('P', case when {part} % 4 = 0 then '-' else '' end, {_digits(part, 7)})"
+
+
 _DIGITS = {
     "customer_digits": _digits("c_custkey", 8),
     # Some locations belong to no customer.
     "location_digits": _digits(
         "case when c_custkey % 61 = 0 then c_custkey + 90000000 else c_custkey end", 8
     ),
-    "part_digits": _digits("p_partkey", 7),
-    "line_part_digits": _digits("l_partkey", 7),
+    # Some product numbers hold a hyphen of their own.
+    "part_number": _number("p_partkey"),
+    "line_part_number": _number("l_partkey"),
 }
 
 
 def _text(table: str, versions: str) -> str:
     text = EXTRACT_SQL[table].replace("{versions}", versions)
+    for name, members in MEMBERS.items():
+        text = text.replace(name, members)
     for name, expression in _DIGITS.items():
         text = text.replace(f"{{{name}}}", expression)
     return text.strip()

@@ -62,9 +62,9 @@ select cst_key, trim(cst_firstname, ' ') as trimmed, upper(cst_firstname) as upp
   case upper(trim(cst_gndr)) when 'M' then 'Male' when 'F' then 'Female' else 'Other' end as preferred
 from bronze_crm_cust_info""",
     "x_keys": """
-select prd_id, concat(prd_key[1:2], '_', prd_key[4:5]) as category, split_part(prd_key, '-', 3) as product,
-  concat_ws('', split_part(prd_key, '-', 1), split_part(prd_key, '-', 2), split_part(prd_key, '-', 3)) as joined,
-  case when prd_cost between -1000000 and 1000 then '1-1000' when prd_cost between 1001 and 2000 then '1001-2000'
+select prd_id, concat(prd_key[1:2], '_', prd_key[4:5]) as category, prd_key[7:] as product,
+  translate(prd_key, '-', '') as joined,
+  case when prd_cost <= 1000 then '1-1000' when prd_cost between 1001 and 2000 then '1001-2000'
     else 'Above 2000' end as tier
 from bronze_crm_prd_info""",
     "x_numbers": """
@@ -136,8 +136,9 @@ union all select 'quantity', 'sum', sum(l_quantity::bigint)::bigint from lineite
 union all select 'quantity', 'above 40', count(*) filter (where l_quantity > 40) from lineitem""",
     "j4_left_join_hot": f"""
 select l_orderkey, l_partkey, l_quantity, o_orderkey, o_custkey from lineitem left join {_JOIN_ORDERS}""",
-    "j6_inner_join_hot": f"""
-select l_orderkey, l_partkey, l_quantity, o_orderkey, o_custkey from lineitem join {_JOIN_ORDERS}""",
+    "j6_inner_join_hot": """
+select l_orderkey, l_partkey, l_quantity, o_orderkey, o_custkey
+from lineitem join orders on l_orderkey = o_orderkey""",
     "j7_semi_join_hot": f"""
 select l_orderkey, l_partkey, l_quantity from lineitem semi join {_JOIN_ORDERS}""",
     "t2_clean_products_hot": ORACLE["t2_clean_products"],

@@ -15,7 +15,12 @@ def _label(column: str, pairs: dict[str, str]) -> str:
 
 
 def _date(column: str) -> str:
-    text = f"case when {column} between 10000101 and 99991231 then {column}::varchar end"
+    text = (
+        f"case when {column} between 1000 and 9999 then {column}::varchar || '0101' "
+        f"when {column} between 100000 and 999999 "
+        f"then (case when {column} < 500000 then '20' else '19' end) || {column}::varchar "
+        f"when {column} between 10000101 and 99991231 then {column}::varchar end"
+    )
     return f"try_strptime({text}, '%Y%m%d')::date"
 
 

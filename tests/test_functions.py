@@ -35,7 +35,9 @@ def test_sum_or_zero(spark):
 @pytest.mark.parametrize("number, expected", [
     (20101229, "2010-12-29"), (20240229, "2024-02-29"), (20230229, None), (20101301, None),
     (20100100, None), (20100132, None), (20100431, None), (0, None), (32154, None), (5489, None),
-    (101229, None), (-20101229, None), (201012290, None), (2147483647, None), (20301231, "2030-12-31"),
+    (101229, "2010-12-29"), (490101, None), (500101, "1950-01-01"), (991231, "1999-12-31"),
+    (300101, "2030-01-01"), (310101, None), (101329, None), (100000, None), (2010, "2010-01-01"),
+    (1999, "1999-01-01"), (2031, None), (999, None), (1000, "1000-01-01"), (1012290, None), (-20101229, None), (201012290, None), (2147483647, None), (20301231, "2030-12-31"),
     (20310101, None), (10000101, "1000-01-01"), (99991231, None), (None, None),
 ])
 def test_int_date(spark, number, expected):
