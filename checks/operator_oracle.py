@@ -44,6 +44,28 @@ from gold_fact_sales f
 group by all""",
     "t7_load_bronze": _log("bronze"),
     "t8_load_silver": _log("silver"),
+    "t8_load_diagnostics": ORACLE["q3_load_diagnostics"],
+    "t9_reload_products": ORACLE["q5_costs_or_lines"],
+    "s1_line_breaks": """
+select cst_id, concat('A', chr(10), cst_key) as cst_key,
+  cst_firstname || chr(10) || '"quoted", and more' || chr(10) as cst_firstname, cst_lastname,
+  cst_marital_status, cst_gndr || chr(10) as cst_gndr, cst_create_date
+from bronze_crm_cust_info""",
+    "s1_lenient_fields": """
+select case when c % 7 <> 0 then c::int end as cst_id, cst_key, 'a, b' as cst_firstname,
+  'c' as cst_lastname, 'S' as cst_marital_status, 'F' as cst_gndr,
+  date '2025-01-02' as cst_create_date
+from (select *, cst_key[3:]::bigint as c from bronze_crm_cust_info where cst_firstname <> 'STALE')
+where c % 5 <> 0""",
+    "s10_rejected_lines": """
+select 'crm_cust_info' as table_name,
+  concat('x', c, ',', cst_key, ',"a, b",c,S,F,',
+    case when c % 3 = 0 then '2025-01-02 00:00:00' when c % 10 = 5 then '2025-13-01'
+      else '2025-01-02' end) as line
+from (select *, cst_key[3:]::bigint as c from bronze_crm_cust_info where cst_firstname <> 'STALE')
+where c % 5 = 0""",
+    "s11_refused_load_keeps_table": "select * from bronze_crm_cust_info",
+    "s12_views_after_reload": "select * from bronze_erp_loc_a101",
     "f_predicates": """
 select sls_ord_num, sls_prd_key, sls_quantity,
   sls_cust_id = -1 as equal, sls_sales is null as missing, sls_sales > sls_price as greater,

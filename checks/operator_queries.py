@@ -6,6 +6,8 @@ keys are taken on the given data; they must give the same rows as the normal job
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ from silverlode.operators import (
 )
 from silverlode.plans import gold, practice, silver
 from silverlode.schemas import BRONZE, EXTRACTS, LOAD_TIME, Extract
-from silverlode.sources import read_extract, split_rejects
+from silverlode.sources import LoadFailed, read_extract, split_rejects
+from silverlode.warehouse import SilverLoad
 
 TINY = Limits(broadcast_rows=20, hot_rows=3)
 
@@ -79,34 +82,107 @@ def reload_twice(b: Build) -> DataFrame:
     return store.bronze("erp_loc_a101")
 
 
-def load_silver(b: Build) -> DataFrame:
-    b.silver("crm_cust_info")
-    store = Warehouse(b.job, b.store.root)
-    return counted(store.log.read().filter(F.col("layer") == "silver"))
+def loaded(b: Build, name: str) -> tuple[Warehouse, SilverLoad]:
+    """A warehouse of its own over the raw tables, cleaned."""
+    store = Warehouse(b.job, b.job.new_path(name))
+    store.load_bronze({table: b.bronze(table) for table in BRONZE})
+    return store, store.load_silver()
+
+
+def load_diagnostics(b: Build) -> DataFrame:
+    return loaded(b, "diagnosed")[1].checks["load diagnostics"]
+
+
+def reload_products(b: Build) -> DataFrame:
+    store, _ = loaded(b, "one_reloaded")
+    return store.reload_silver("crm_prd_info").checks["doubtful costs or lines"]
 
 
 def stamped_rows(b: Build) -> DataFrame:
     """Rows of each cleaned table, and how many carry their load time."""
-    parts = []
-    for table in BRONZE:
-        b.silver(table)
-        rows = b.job.spark.read.parquet(b.store.path("silver", table))
-        parts.append(rows.agg(
+    return reduce(DataFrame.unionByName, (
+        b.silver(table).agg(
             F.lit(table).alias("table_name"), F.count("*").alias("row_count"),
             F.count(LOAD_TIME).alias("stamped"),
-        ))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        ) for table in BRONZE
+    ))
+
+
+def loaded_customers(b: Build, name: str, df: DataFrame) -> Warehouse:
+    """A warehouse with customers loaded from a quoted extract, whatever lines it refuses."""
+    store = Warehouse(b.job, b.job.new_path(name))
+    refill_customers(b, store, df, None)
+    return store
+
+
+def refill_customers(b: Build, store: Warehouse, df: DataFrame, max_rejects: int | None) -> None:
+    folder = b.job.new_path("extracts")
+    write_extract(df, f"{folder}/customers", quoted=True)
+    store.load_extracts(folder, [Extract("crm_cust_info", "customers")], max_rejects)
+
+
+def line_breaks(b: Build) -> DataFrame:
+    """All customers with line breaks in the first, a middle and the last text field."""
+    broken = b.bronze("crm_cust_info").withColumns({
+        "cst_key": F.concat(F.lit("A\n"), "cst_key"),
+        "cst_firstname": F.concat("cst_firstname", F.lit('\n"quoted", and more\n')),
+        "cst_gndr": F.concat("cst_gndr", F.lit("\n")),
+    })
+    return loaded_customers(b, "line_breaks", broken).bronze("crm_cust_info")
+
+
+def doubtful_customers(b: Build) -> DataFrame:
+    """Customers as texts; every fifth has an id or a date that is none, others odd spellings."""
+    key = F.col("cst_key").substr(3, 20).cast("bigint")
+    return b.bronze("crm_cust_info").filter("cst_firstname <> 'STALE'").select(
+        F.when(key % 5 == 0, F.concat(F.lit("x"), key)).when(key % 7 == 0, F.lit(""))
+        .otherwise(F.concat(F.lit(" "), key)).alias("cst_id"),
+        "cst_key", F.lit("a, b").alias("cst_firstname"), F.lit("c").alias("cst_lastname"),
+        F.lit("S").alias("cst_marital_status"), F.lit("F").alias("cst_gndr"),
+        F.when(key % 3 == 0, F.lit("2025-01-02 00:00:00")).when(key % 10 == 5, F.lit("2025-13-01"))
+        .otherwise(F.lit("2025-01-02")).alias("cst_create_date"),
+    )
+
+
+def rejected_lines(b: Build) -> DataFrame:
+    store = loaded_customers(b, "rejects", doubtful_customers(b))
+    return store.rejects().select("table_name", "line")
+
+
+def lenient_fields(b: Build) -> DataFrame:
+    """What is loaded beside the rejected lines."""
+    return loaded_customers(b, "lenient", doubtful_customers(b)).bronze("crm_cust_info")
+
+
+def refused_load(b: Build) -> DataFrame:
+    """The table of a good load after another load with bad lines has failed."""
+    store = loaded_customers(b, "refused", b.bronze("crm_cust_info"))
+    try:
+        refill_customers(b, store, doubtful_customers(b), 0)
+    except LoadFailed:
+        return store.bronze("crm_cust_info")
+    raise AssertionError("the load should have failed")
+
+
+def views_after_reload(b: Build) -> DataFrame:
+    """A view that was registered before the table was loaded anew."""
+    store = Warehouse(b.job, b.job.new_path("viewed"))
+    store.load_bronze({"erp_loc_a101": b.bronze("erp_loc_a101").filter("cntry = ''")})
+    store.register_views()
+    store.load_bronze({"erp_loc_a101": b.bronze("erp_loc_a101")})
+    return b.job.spark.sql("select cid, cntry from bronze_erp_loc_a101")
 
 
 def sql_on_views(b: Build) -> DataFrame:
+    """Sales are summed per customer and product before they meet the dimensions, so that no
+    task gets all lines of one key."""
     b.gold("fact_sales")
     b.store.register_views()
     return b.job.spark.sql("""
-        select c.country, p.category, r.customer_category, sum(s.quantity) as items
-        from gold_fact_sales s
+        select c.country, p.category, r.customer_category, sum(s.items) as items
+        from (
+            select customer_key, product_key, sum(quantity) as items
+            from gold_fact_sales group by customer_key, product_key) s
           left join gold_dim_customer c on c.customer_key = s.customer_key
           left join gold_dim_product p on p.product_key = s.product_key
           left join gold_report_customers r on r.customer_key = s.customer_key
@@ -279,7 +355,14 @@ ANSWERS = {
     "s5_table_scan": lambda b: b.bronze("crm_sales_details"),
     "s6_sql_on_views": sql_on_views,
     "t7_load_bronze": load_extracts,
-    "t8_load_silver": load_silver,
+    "t8_load_silver": lambda b: counted(loaded(b, "silver_loaded")[1].log),
+    "t8_load_diagnostics": load_diagnostics,
+    "t9_reload_products": reload_products,
+    "s1_line_breaks": line_breaks,
+    "s1_lenient_fields": lenient_fields,
+    "s10_rejected_lines": rejected_lines,
+    "s11_refused_load_keeps_table": refused_load,
+    "s12_views_after_reload": views_after_reload,
     "f_predicates": predicates,
     "x_text": text_functions,
     "x_keys": key_functions,

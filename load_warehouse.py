@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverlode import Job, Warehouse
 from silverlode.plans import audits
+from silverlode.schemas import SILVER
 
 
 def audit_reports(store: Warehouse) -> dict[str, DataFrame]:
@@ -39,13 +40,21 @@ def main() -> None:
     parser.add_argument("--extracts", required=True, help="folder with source_crm/ and source_erp/")
     parser.add_argument("--root", required=True, help="folder of the warehouse, new or to be replaced")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="evaluation date (default: today)")
-    parser.add_argument("--max-rejects", type=int, default=10, help="rejected lines allowed per extract")
+    parser.add_argument("--max-rejects", type=int, default=0, help="rejected lines allowed per extract; they are kept in bronze_rejects")
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName("load warehouse").getOrCreate()
     store = Warehouse(Job(spark, options.as_of), options.root)
     store.load_extracts(options.extracts, max_rejects=options.max_rejects).show(truncate=False)
-    store.load_silver().show(truncate=False)
+    log, checks = store.load_silver()
+    log.show(truncate=False)
+    for name, report in checks.items():
+        print(name)
+        report.show(truncate=False)
+    for table in SILVER:
+        for name, report in store.audit_silver(table).items():
+            print(f"{table}: {name}")
+            report.show(truncate=False)
     store.load_gold().show(truncate=False)
     for name, report in audit_reports(store).items():
         print(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +46,15 @@ class Job:
     def new_path(self, name: str) -> str:
         return f"{self.folder}/staged/{name}-{uuid.uuid4().hex}"
 
+    def part(self, name: str) -> Job:
+        """A job with a folder of its own inside this one's, to be removed when it is done."""
+        return replace(self, folder=f"{self.folder}/{name}-{uuid.uuid4().hex}")
+
+    def remove(self) -> None:
+        """Remove the folder with all that was staged; nothing read from it may be used later."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write once to the shared folder and read back, so later steps see one fixed copy.
 

@@ -18,7 +18,7 @@ from silverlode.functions import (
 )
 from silverlode.job import Job
 from silverlode.operators import balanced_join, latest_per_key, with_group_max, with_next_value
-from silverlode.schemas import SILVER
+from silverlode.schemas import BRONZE
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def clean_sales(job: Job, raw: DataFrame) -> DataFrame:
     from_amount = int_div(amount, quantity).cast("int")
     return with_group_max(job, parsed, "sls_ord_num", dates).withColumn(
         "sls_price", F.when(price.isNull() | (price <= 0), from_amount).otherwise(price)
-    ).select(SILVER["crm_sales_details"].fieldNames())
+    ).select(BRONZE["crm_sales_details"].fieldNames())
 
 
 def clean_erp_customers(job: Job, raw: DataFrame) -> DataFrame:
@@ -91,4 +91,4 @@ def clean_locations(job: Job, raw: DataFrame, customers: DataFrame) -> DataFrame
 
 
 def clean_categories(raw: DataFrame) -> DataFrame:
-    return raw.select(SILVER["erp_px_cat_g1v2"].fieldNames())
+    return raw.select(BRONZE["erp_px_cat_g1v2"].fieldNames())

@@ -1,4 +1,7 @@
-"""Declared schemas of every stored table, and how each extract file is read."""
+"""Declared schemas of every stored table, and how each extract file is read.
+
+Column names and types of the three layers are fixed values: results must have them.
+"""
 
 from __future__ import annotations
 
@@ -44,7 +47,7 @@ BRONZE = {
 # Every cleaned table also carries the moment it was written.
 LOAD_TIME = "dwh_create_date"
 
-SILVER = {
+CLEAN = {
     "crm_cust_info": BRONZE["crm_cust_info"],
     "crm_prd_info": _schema(
         "prd_id int, cat_id string, prd_key string, prd_nm string, prd_cost int, "
@@ -59,6 +62,11 @@ SILVER = {
     "erp_px_cat_g1v2": BRONZE["erp_px_cat_g1v2"],
 }
 
+SILVER = {
+    table: T.StructType([*schema.fields, T.StructField(LOAD_TIME, T.TimestampType())])
+    for table, schema in CLEAN.items()
+}
+
 GOLD = {
     "dim_customer": _schema(
         "customer_key bigint, customer_id int, customer_number string, first_name string, "
@@ -78,17 +86,21 @@ GOLD = {
 
 RUN_LOG = _schema(
     "layer string, table_name string, rows_loaded bigint, rows_rejected bigint, "
-    "seconds double, status string, finished_at timestamp"
+    "seconds double, status string, finished_at timestamp, message string"
 )
 
+REJECTS = _schema("load_id string, table_name string, file string, line string")
+
 
 @dataclass(frozen=True)
 class Extract:
-    """One delimited extract: its table, its file under the extract folder, its quoting."""
+    """One delimited extract: its table, its file under the extract folder, its quoting, and
+    whether quoted fields may hold line breaks (then one task reads a file)."""
 
     table: str
     file: str
     quoted: bool = True
+    lines_in_fields: bool = True
 
 
 # File names and the one extract that is delivered without quoting.

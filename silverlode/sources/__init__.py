@@ -1,6 +1,16 @@
 """Extract files, stored tables and the run log."""
 
-from silverlode.sources.delimited import read_extract, split_rejects
-from silverlode.sources.tables import LoadFailed, RunLog, full_reload
+from silverlode.sources.delimited import (
+    SOURCE_FILE,
+    UnclosedQuote,
+    check_quotes,
+    read_extract,
+    split_rejects,
+)
+from silverlode.sources.files import Files
+from silverlode.sources.tables import LoadFailed, RunLog, rejected_lines, write_version
 
-__all__ = ["read_extract", "split_rejects", "LoadFailed", "RunLog", "full_reload"]
+__all__ = [
+    "SOURCE_FILE", "UnclosedQuote", "check_quotes", "read_extract", "split_rejects", "Files",
+    "LoadFailed", "RunLog", "rejected_lines", "write_version",
+]

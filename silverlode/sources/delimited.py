@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REJECT = "_rejected_line"
+SOURCE_FILE = "_source_file"
+
+# A date, alone or as a midnight timestamp.
+_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]00:00(:00(\.0+)?)?)?$"
+
+
+class UnclosedQuote(ValueError):
+    """An extract has a quote that no other one closes."""
 
 
 def read_extract(
     spark: SparkSession, path: str, schema: T.StructType, quoted: bool = True,
-    mode: str = "PERMISSIVE", lines_in_fields: bool = False,
+    mode: str = "PERMISSIVE", lines_in_fields: bool = True,
 ) -> DataFrame:
-    """Rows of an extract; in PERMISSIVE mode with the raw line of each row that does not fit
-    the schema in REJECT (NULL on good rows).
+    """Rows of an extract, with SOURCE_FILE and, in PERMISSIVE mode, REJECT: the line of each row
+    that does not fit the schema (NULL on good rows). FAILFAST raises at the first such line.
+
+    Quoted extracts follow RFC 4180: a quote inside a field is doubled, and a quoted field may
+    hold line breaks. Such a file is read by one task; for a huge one without such breaks, turn
+    `lines_in_fields` off, which splits it (and see `check_quotes`). In unquoted extracts a quote
+    is plain data. Both kinds of line end are read.
 
-    Quoted extracts follow RFC 4180 (a quote inside a field is doubled). In unquoted ones a
-    quote is plain data. Both kinds of line end are read. `lines_in_fields` allows line breaks
-    inside quoted fields; such a file cannot be split, so leave it off for large files.
+    Texts are kept as they are. Numbers and dates may have spaces around them, a number or date
+    field without any text is NULL, quoted or not, and a timestamp at midnight is its date.
     """
+    texts = T.StructType([T.StructField(field.name, T.StringType()) for field in schema.fields])
+    columns = T.StructType([*texts.fields, T.StructField(REJECT, T.StringType())])
     permissive = mode.upper() == "PERMISSIVE"
-    columns = T.StructType([*schema.fields])
-    if permissive:
-        columns = columns.add(REJECT, T.StringType())
     reader = (
-        spark.read.schema(columns)
-        .option("header", True)
-        .option("mode", mode)
-        .option("enforceSchema", True)
-        .option("dateFormat", "yyyy-MM-dd")
+        spark.read.schema(columns if permissive else texts)
+        .option("header", True).option("mode", mode).option("enforceSchema", True)
         # Stands for a field without any text; a quoted empty text then stays an empty text.
         .option("nullValue", "\u0000")
     )
@@ -40,10 +50,69 @@ def read_extract(
         reader = reader.option("multiLine", lines_in_fields)
     else:
         reader = reader.option("quote", "")
-    return reader.csv(path)
+    read = reader.csv(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+    typed = {field.name: _typed(F.col(field.name), field.dataType) for field in schema.fields}
+    bad = reduce(Column.__or__, (
+        typed[field.name].isNull() & (F.trim(field.name) != "")
+        for field in schema.fields if not isinstance(field.dataType, T.StringType)
+    ), F.lit(False))
+    line = _line([field.name for field in schema.fields], quoted)
+    if not permissive:
+        checked = read.withColumn(REJECT, F.when(
+            bad, F.raise_error(F.concat(F.lit("Malformed line: "), line)).cast("string")
+        ))
+        # The check stays in the plan because its column decides which rows come out.
+        return checked.filter(F.col(REJECT).isNull()).select(
+            *(column.alias(name) for name, column in typed.items()), SOURCE_FILE
+        )
+    refused = F.coalesce(F.col(REJECT), F.when(F.coalesce(bad, F.lit(False)), line))
+    return read.select(
+        *(column.alias(name) for name, column in typed.items()), SOURCE_FILE,
+        refused.alias(REJECT),
+    )
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    trimmed = F.trim(text)
+    if isinstance(kind, T.DateType):
+        return F.when(trimmed.rlike(_DATE), F.substring_index(
+            F.substring_index(trimmed, " ", 1), "T", 1).try_cast("date"))
+    return F.when(trimmed != "", trimmed.try_cast(kind))
+
+
+def _line(names: list[str], quoted: bool) -> Column:
+    """The fields of a line that has all of them, written as in the extract."""
+    if not quoted:
+        return F.concat_ws(",", *(F.coalesce(name, F.lit("")) for name in names))
+    return F.to_csv(F.struct(*names), {
+        "quote": '"', "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    })
 
 
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the reject column, and the rejected lines."""
-    good = rows.filter(F.col(REJECT).isNull()).drop(REJECT)
+    """Good rows with the columns of their schema, and the rejected lines."""
+    good = rows.filter(F.col(REJECT).isNull()).drop(REJECT, SOURCE_FILE)
     return good, rows.filter(F.col(REJECT).isNotNull())
+
+
+def check_quotes(spark: SparkSession, path: str, lines_in_fields: bool = True) -> None:
+    """Raise UnclosedQuote, naming a line, for a quoted extract with a quote left open.
+
+    A record without line breaks has an even number of quotes. With breaks in fields the lines
+    with an odd number come in pairs, so each file has an even number of them.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file")
+    )
+    odd = lines.filter(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1)
+    if lines_in_fields:
+        odd = odd.groupBy("file").agg(
+            F.count("*").alias("n"), F.max("value").alias("value")
+        ).filter("n % 2 = 1")
+    found = odd.first()
+    if found is not None:
+        raise UnclosedQuote(f"{found['file']}: unclosed quote, as in: {found['value']}")

@@ -1,16 +1,16 @@
-"""Stored tables: full reload with row counts, and the log of all loads."""
+"""Stored tables: versions with counted rows and set-aside rejects, and the log of all loads."""
 
 from __future__ import annotations
 
 import datetime as dt
-import time
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.schemas import RUN_LOG
-from silverlode.sources.delimited import REJECT, split_rejects
+from silverlode.sources.delimited import REJECT, SOURCE_FILE
+
+_REFUSED = "refused"
 
 
 class LoadFailed(RuntimeError):
@@ -27,9 +27,10 @@ class RunLog:
 
     def add(
         self, layer: str, table: str, rows: int | None, rejected: int | None, seconds: float,
-        status: str,
+        status: str, message: str | None = None,
     ) -> None:
-        self._entries.append((layer, table, rows, rejected, seconds, status, dt.datetime.now()))
+        now = dt.datetime.now()
+        self._entries.append((layer, table, rows, rejected, seconds, status, now, message))
 
     def write(self) -> DataFrame:
         """Append the collected entries to the stored log; returns them."""
@@ -42,35 +43,36 @@ class RunLog:
         return self.spark.read.schema(RUN_LOG).parquet(self.path)
 
 
-def full_reload(
-    rows: Callable[[], DataFrame], path: str, log: RunLog, layer: str, table: str,
-    max_rejects: int | None = None,
-) -> int:
-    """Replace the table at `path` with the rows and log their count and the seconds from
-    planning to the last file; returns the count.
+def write_version(rows: DataFrame, path: str) -> tuple[str, int, int]:
+    """Write rows to a new folder; returns where the good ones are, their number and that of the
+    rejected ones.
 
-    Rows are counted while they are written, so the input is read once. Lines marked as
-    rejected by `read_extract` are counted and left out. Any error is logged and raised.
+    Rows are counted while they are written, so the input is read once. Lines that
+    `read_extract` marked as rejected go to a folder of their own in the same pass.
     """
-    started = time.monotonic()
-    try:
-        loaded, refused = _write_counted(rows(), path)
-        if max_rejects is not None and refused > max_rejects:
-            raise LoadFailed(f"{layer}.{table}: {refused} rejected lines, {max_rejects} allowed")
-    except Exception:
-        log.add(layer, table, None, None, time.monotonic() - started, "failed")
-        raise
-    log.add(layer, table, loaded, refused, time.monotonic() - started, "ok")
-    return loaded
-
-
-def _write_counted(df: DataFrame, path: str) -> tuple[int, int]:
     watch = Observation()
-    if REJECT not in df.columns:
-        df.observe(watch, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        return watch.get["rows"], 0
-    counted = df.observe(
+    if REJECT not in rows.columns:
+        rows.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return path, watch.get["rows"], 0
+    counted = rows.observe(
         watch, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECT)).alias("rejected")
     )
-    split_rejects(counted)[0].write.mode("overwrite").parquet(path)
-    return watch.get["rows"] - watch.get["rejected"], watch.get["rejected"]
+    marked = counted.withColumn(_REFUSED, F.col(REJECT).isNotNull())
+    marked.write.partitionBy(_REFUSED).parquet(path)
+    rejected = watch.get["rejected"]
+    good = watch.get["rows"] - rejected
+    place = f"{path}/{_REFUSED}=false"
+    if not good:  # no row, no folder
+        rows.limit(0).write.parquet(place)
+    return place, good, rejected
+
+
+def rejected_lines(spark: SparkSession, path: str, load_id: str, table: str) -> DataFrame:
+    """(load_id, table_name, file, line) of the lines set aside by `write_version`."""
+    aside = spark.read.schema(f"{SOURCE_FILE} string, {REJECT} string").parquet(
+        f"{path}/{_REFUSED}=true"
+    )
+    return aside.select(
+        F.lit(load_id).alias("load_id"), F.lit(table).alias("table_name"),
+        F.col(SOURCE_FILE).alias("file"), F.col(REJECT).alias("line"),
+    )

@@ -2,36 +2,74 @@
 
 from __future__ import annotations
 
+import json
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode import schemas
 from silverlode.job import Job
-from silverlode.plans import gold, reports, silver
-from silverlode.sources import RunLog, full_reload, read_extract
+from silverlode.plans import audits, gold, reports, silver
+from silverlode.sources import (
+    Files,
+    LoadFailed,
+    RunLog,
+    check_quotes,
+    read_extract,
+    rejected_lines,
+    write_version,
+)
 
 _SCHEMAS = {"bronze": schemas.BRONZE, "silver": schemas.SILVER, "gold": schemas.GOLD}
 
+Rows = Callable[[], DataFrame]
+
+
+class SilverLoad(NamedTuple):
+    """The log rows of a load of cleaned tables, and its checks by name."""
+
+    log: DataFrame
+    checks: dict[str, DataFrame]
+
 
 class Warehouse:
-    """Tables under `root/<layer>/<table>` and the run log under `root/run_log`.
+    """Tables in versions under `root/<layer>/<table>`, the run log and the rejected lines.
 
-    A reload replaces the tables of its layer. To keep the previous build readable until a new
-    one is complete, load into a new root and switch readers over afterwards; surrogate keys
-    are only comparable within one build anyway.
+    A load writes new versions beside the current ones, checks them and then publishes all of
+    them at once, with one small file; until then, and for good if it fails, readers keep the
+    versions of the last load. The tables of one load therefore always belong together. Views
+    that were registered are registered anew after each load. The version before the current
+    one is kept for queries that still read it, older ones are removed. One load at a time.
     """
 
     def __init__(self, job: Job, root: str | None = None) -> None:
         self.job = job
         self.root = (root or f"{job.folder}/warehouse").rstrip("/")
         self.log = RunLog(job.spark, f"{self.root}/run_log")
+        self.files = Files(job.spark)
+        self._new: dict[tuple[str, str], str] = {}
+        self._has_views = False
+
+    def versions(self, layer: str) -> dict[str, str]:
+        """Published place of each table of a layer, below the layer's folder."""
+        published = self._published(layer)
+        return json.loads(self.files.read(published[-1])) if published else {}
+
+    def _published(self, layer: str) -> list[str]:
+        folder = f"{self.root}/{layer}/_published"
+        names = self.files.names(folder)
+        return [f"{folder}/{name}" for name in names if name.endswith(".json")]
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+        place = self._new.get((layer, table)) or self.versions(layer).get(table)
+        if place is None:
+            raise LookupError(f"{layer}.{table} was not loaded yet")
+        return f"{self.root}/{layer}/{place}"
 
     def read(self, layer: str, table: str) -> DataFrame:
         schema = _SCHEMAS[layer][table]
@@ -46,32 +84,89 @@ class Warehouse:
     def gold(self, table: str) -> DataFrame:
         return self.read("gold", table)
 
+    def rejects(self) -> DataFrame:
+        """Every line that a load of extracts set aside: load_id, table_name, file, line."""
+        spark, path = self.job.spark, f"{self.root}/bronze_rejects"
+        if not self.files.names(path):
+            return spark.createDataFrame([], schemas.REJECTS)
+        return spark.read.schema(schemas.REJECTS).parquet(path)
+
     def load_extracts(
         self, folder: str, extracts: Iterable[schemas.Extract] = schemas.EXTRACTS,
-        max_rejects: int | None = 10,
+        max_rejects: int | None = 0,
     ) -> DataFrame:
-        """Load delimited extracts as they are into bronze tables.
+        """Load delimited extracts as they are into bronze tables; returns the log rows.
 
-        A line that does not fit its schema is left out and counted; more than `max_rejects` of
-        them in one extract fail the load (None: any number is allowed).
+        Every line that does not fit its schema is kept in `rejects()`. More than `max_rejects`
+        of them in one extract fail the load (None: any number is allowed), and so does a quote
+        that is never closed.
         """
-        tables = {
-            extract.table: lambda extract=extract: read_extract(
-                self.job.spark, f"{folder}/{extract.file}", schemas.BRONZE[extract.table],
-                extract.quoted,
+        spark = self.job.spark
+
+        def rows(extract: schemas.Extract) -> DataFrame:
+            path = f"{folder}/{extract.file}"
+            if extract.quoted:
+                check_quotes(spark, path, extract.lines_in_fields)
+            return read_extract(
+                spark, path, schemas.BRONZE[extract.table], extract.quoted,
+                lines_in_fields=extract.lines_in_fields,
             )
-            for extract in extracts
-        }
-        return self._load("bronze", [tables], max_rejects)
+
+        tables = {extract.table: lambda extract=extract: rows(extract) for extract in extracts}
+        return self._load("bronze", lambda _: [tables], max_rejects)
 
     def load_bronze(self, tables: dict[str, DataFrame]) -> DataFrame:
         """Load raw rows that are DataFrames already."""
-        return self._load("bronze", [{name: lambda rows=rows: rows for name, rows in tables.items()}])
+        steps = [{name: lambda rows=rows: rows for name, rows in tables.items()}]
+        return self._load("bronze", lambda _: steps)
+
+    def load_silver(self) -> SilverLoad:
+        """Clean every bronze table; returns the log rows and the checks of the load: rows of
+        each table and diagnostics."""
+        log = self._load("silver", self._silver_steps)
+        tables = {name: self.silver(name) for name in schemas.SILVER}
+        return SilverLoad(log, {
+            "row counts": audits.row_counts(tables, "row_count"),
+            "load diagnostics": audits.load_diagnostics(
+                tables["crm_cust_info"], tables["crm_prd_info"], tables["crm_sales_details"],
+                tables["erp_cust_az12"], tables["erp_loc_a101"],
+            ),
+        })
+
+    def reload_silver(self, table: str) -> SilverLoad:
+        """Clean one bronze table anew; returns the log rows and the table's own audit."""
+        def steps(job: Job) -> list[dict[str, Rows]]:
+            return [{table: rows} for step in self._silver_steps(job)
+                    for name, rows in step.items() if name == table]
+
+        log = self._load("silver", steps)
+        return SilverLoad(log, self.audit_silver(table))
+
+    def audit_silver(self, table: str) -> dict[str, DataFrame]:
+        """The audit that belongs to one cleaned table, by the name of each check."""
+        rows = self.silver(table)
+        checks = {
+            "crm_cust_info": lambda: {"repeated ids": audits.repeated_or_null(rows, "cst_id")},
+            "crm_prd_info": lambda: {
+                "repeated ids": audits.repeated_or_null(rows, "prd_id"),
+                "untidy names": audits.untidy_product_names(rows),
+                "reversed dates": audits.reversed_product_dates(rows),
+                "malformed categories": audits.malformed_categories(rows),
+                "doubtful costs or lines": audits.doubtful_costs_or_lines(rows),
+            },
+            "crm_sales_details": lambda: {
+                "rules": audits.silver_rules(self.silver("crm_prd_info"), rows)
+            },
+            "erp_cust_az12": lambda: {"quality": audits.erp_customer_quality(self.job, rows)},
+            "erp_loc_a101": lambda: {"quality": audits.location_quality(rows)},
+            "erp_px_cat_g1v2": lambda: {"quality": audits.category_quality(rows)},
+        }
+        return checks[table]()
 
-    def load_silver(self) -> DataFrame:
-        """Clean every bronze table; locations come after the customers they refer to."""
-        job, raw = self.job, self.bronze
-        return self._load("silver", [
+    def _silver_steps(self, job: Job) -> list[dict[str, Rows]]:
+        """Locations come after the customers they refer to."""
+        raw = self.bronze
+        return [
             {
                 "crm_cust_info": lambda: silver.clean_customers(raw("crm_cust_info")),
                 "crm_prd_info": lambda: silver.clean_products(job, raw("crm_prd_info")),
@@ -84,27 +179,31 @@ class Warehouse:
                     job, raw("erp_loc_a101"), self.silver("crm_cust_info")
                 ),
             },
-        ])
+        ]
 
     def load_gold(self) -> DataFrame:
         """Build dimensions and fact together, so that their surrogate keys agree."""
-        job, clean = self.job, self.silver
-        return self._load("gold", [
-            {
-                "dim_customer": lambda: gold.dim_customer(
-                    job, clean("crm_cust_info"), clean("erp_cust_az12"), clean("erp_loc_a101")
-                ),
-                "dim_product": lambda: gold.dim_product(
-                    job, clean("crm_prd_info"), clean("erp_px_cat_g1v2")
-                ),
-            },
-            {
-                "fact_sales": lambda: gold.fact_sales(
-                    job, clean("crm_sales_details"), self.gold("dim_customer"),
-                    self.gold("dim_product"),
-                ),
-            },
-        ])
+        clean = self.silver
+
+        def steps(job: Job) -> list[dict[str, Rows]]:
+            return [
+                {
+                    "dim_customer": lambda: gold.dim_customer(
+                        job, clean("crm_cust_info"), clean("erp_cust_az12"), clean("erp_loc_a101")
+                    ),
+                    "dim_product": lambda: gold.dim_product(
+                        job, clean("crm_prd_info"), clean("erp_px_cat_g1v2")
+                    ),
+                },
+                {
+                    "fact_sales": lambda: gold.fact_sales(
+                        job, clean("crm_sales_details"), self.gold("dim_customer"),
+                        self.gold("dim_product"),
+                    ),
+                },
+            ]
+
+        return self._load("gold", steps)
 
     def report_customers(self) -> DataFrame:
         return reports.report_customers(self.job, self.gold("dim_customer"), self.gold("fact_sales"))
@@ -113,43 +212,84 @@ class Warehouse:
         return reports.report_products(self.job, self.gold("dim_product"), self.gold("fact_sales"))
 
     def register_views(self) -> None:
-        """Make every stored table and report a view named <layer>_<table> for SQL users."""
-        for layer, tables in _SCHEMAS.items():
-            for table in tables:
+        """Make every loaded table and report a view named <layer>_<table> for SQL users; each
+        load registers them anew, so they always show the current tables."""
+        self._has_views = True
+        for layer in _SCHEMAS:
+            for table in self.versions(layer):
                 self.read(layer, table).createOrReplaceTempView(f"{layer}_{table}")
-        self.report_customers().createOrReplaceTempView("gold_report_customers")
-        self.report_products().createOrReplaceTempView("gold_report_products")
+        if self.versions("gold"):
+            self.report_customers().createOrReplaceTempView("gold_report_customers")
+            self.report_products().createOrReplaceTempView("gold_report_products")
 
     def _load(
-        self, layer: str, steps: list[dict[str, Callable[[], DataFrame]]],
+        self, layer: str, plan: Callable[[Job], list[dict[str, Rows]]],
         max_rejects: int | None = None,
     ) -> DataFrame:
-        """Reload the tables of a layer, step by step; returns the log rows of this load.
+        """Load the tables of a layer, step by step, and publish them; returns the log rows.
 
         The tables of one step do not need each other and are submitted together, so that a
         small one does not leave the cluster idle. The first error is raised once all tables of
-        its step have ended; later steps are not started.
+        its step have ended, each with its own entry; later steps are not started. What the
+        load staged is removed at its end.
         """
-        started = time.monotonic()
+        started, load_id, work = time.monotonic(), uuid.uuid4().hex, self.job.part("load")
 
-        def reload(item: tuple[str, Callable[[], DataFrame]]) -> int:
+        def load(item: tuple[str, Rows]) -> int:
             table, rows = item
+            begun, refused = time.monotonic(), None
+            try:
+                frame = rows()
+                if layer == "silver":
+                    frame = frame.withColumn(schemas.LOAD_TIME, F.current_timestamp())
+                version = f"{self.root}/{layer}/{table}/{load_id}"
+                place, loaded, refused = write_version(frame, version)
+                if refused:
+                    lines = rejected_lines(self.job.spark, version, load_id, table)
+                    lines.write.mode("append").parquet(f"{self.root}/bronze_rejects")
+                if max_rejects is not None and refused > max_rejects:
+                    raise LoadFailed(
+                        f"{layer}.{table}: {refused} rejected lines, {max_rejects} allowed"
+                    )
+            except Exception as error:
+                seconds = time.monotonic() - begun
+                self.log.add(layer, table, None, refused, seconds, "failed", str(error)[:2000])
+                raise
+            self._new[layer, table] = place.removeprefix(f"{self.root}/{layer}/")
+            self.log.add(layer, table, loaded, refused, time.monotonic() - begun, "ok")
+            return loaded
 
-            def stamped() -> DataFrame:
-                return rows().withColumn(schemas.LOAD_TIME, F.current_timestamp())
-
-            return full_reload(
-                stamped if layer == "silver" else rows, self.path(layer, table), self.log, layer,
-                table, max_rejects,
-            )
-
-        total, status = 0, "failed"
+        total, status, message = 0, "failed", None
         try:
-            for tables in steps:
+            for tables in plan(work):
                 with ThreadPoolExecutor(len(tables)) as pool:
-                    total += sum(pool.map(reload, tables.items()))
+                    total += sum(pool.map(load, tables.items()))
+            self._publish(layer)
             status = "ok"
+        except Exception as error:
+            message = str(error)[:2000]
+            for table in _SCHEMAS[layer]:
+                self.files.remove(f"{self.root}/{layer}/{table}/{load_id}")
+            raise
         finally:
-            self.log.add(layer, "(all)", total, None, time.monotonic() - started, status)
+            self._new.clear()
+            work.remove()
+            self.log.add(layer, "(all)", total, None, time.monotonic() - started, status, message)
             entries = self.log.write()
+        if self._has_views:
+            self.register_views()
         return entries
+
+    def _publish(self, layer: str) -> None:
+        """Make the new versions of this load the current ones, all at once, and remove the
+        versions that neither this nor the last load published."""
+        last = self.versions(layer)
+        current = last | {table: place for (of, table), place in self._new.items() if of == layer}
+        number = len(self._published(layer)) + 1
+        self.files.write_new(f"{self.root}/{layer}/_published/{number:08d}.json", json.dumps(current))
+        for table in current:
+            kept = {place.split("/")[1] for place in (current[table], last.get(table)) if place}
+            folder = f"{self.root}/{layer}/{table}"
+            for name in self.files.names(folder):
+                if name not in kept:
+                    self.files.remove(f"{folder}/{name}")

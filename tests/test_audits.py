@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 from conftest import date
 from silverlode import fixed_values as fixed
 from silverlode.plans import audits
-from silverlode.schemas import GOLD, SILVER
+from silverlode.schemas import CLEAN, GOLD
 
 DAY = date("2025-01-01")
 GOOD = {
@@ -24,7 +24,7 @@ GOOD = {
 def found(spark, job, **bad):
     """Checks with exceptions, after adding bad rows to some tables."""
     values = {name: good + bad.get(name, []) for name, good in GOOD.items()}
-    schemas = SILVER | GOLD
+    schemas = CLEAN | GOLD
     t = {name: spark.createDataFrame(values[name], schemas[name]) for name in values}
     counts = [
         audits.load_diagnostics(t["crm_cust_info"], t["crm_prd_info"], t["crm_sales_details"],
@@ -135,9 +135,9 @@ def test_bad_gold_rows(spark, job):
 def test_counts_of_empty_tables_are_zero(spark):
     empty = spark.createDataFrame([], GOLD["fact_sales"])
     assert {row.exception_count for row in audits.gold_facts(empty).collect()} == {0}
-    customers = spark.createDataFrame([], SILVER["crm_cust_info"])
-    products = spark.createDataFrame([], SILVER["crm_prd_info"])
-    sales = spark.createDataFrame([], SILVER["crm_sales_details"])
-    places = spark.createDataFrame([], SILVER["erp_loc_a101"])
+    customers = spark.createDataFrame([], CLEAN["crm_cust_info"])
+    products = spark.createDataFrame([], CLEAN["crm_prd_info"])
+    sales = spark.createDataFrame([], CLEAN["crm_sales_details"])
+    places = spark.createDataFrame([], CLEAN["erp_loc_a101"])
     orphans = audits.silver_orphans(customers, products, sales, places)
     assert [row.exception_count for row in orphans.collect()] == [0, 0, 0]

@@ -3,7 +3,7 @@ import pytest
 from conftest import date, rows
 from silverlode import Warehouse
 from silverlode.schemas import BRONZE, EXTRACTS, Extract
-from silverlode.sources import LoadFailed, read_extract, split_rejects
+from silverlode.sources import LoadFailed, UnclosedQuote, read_extract, split_rejects
 
 CUSTOMERS = BRONZE["crm_cust_info"]
 HEADER = "cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date"
@@ -86,7 +86,7 @@ def extract_folder(tmp_path, bad_lines):
 def test_load_counts_rejected_lines(job, tmp_path):
     folder, extracts = extract_folder(tmp_path, bad_lines=3)
     store = Warehouse(job)
-    log = {row.table_name: row for row in store.load_extracts(folder, extracts).collect()}
+    log = {row.table_name: row for row in store.load_extracts(folder, extracts, max_rejects=3).collect()}
     assert (log["crm_cust_info"].rows_loaded, log["crm_cust_info"].rows_rejected) == (1, 3)
     assert log["crm_cust_info"].status == "ok" and log["crm_cust_info"].seconds > 0
     assert log["(all)"].rows_loaded == 1
@@ -96,13 +96,20 @@ def test_load_counts_rejected_lines(job, tmp_path):
 def test_too_many_rejected_lines_fail_the_load(job, tmp_path):
     folder, extracts = extract_folder(tmp_path, bad_lines=11)
     store = Warehouse(job)
+    store.load_bronze({"crm_cust_info": job.spark.createDataFrame(
+        [(7, "K7", "a", "b", "S", "F", date("2025-01-02"))], CUSTOMERS)})
     with pytest.raises(LoadFailed):
         store.load_extracts(folder, extracts)
-    assert {(row.table_name, row.status) for row in store.log.read().collect()} == {
-        ("crm_cust_info", "failed"), ("(all)", "failed"),
+    failed = store.log.read().filter("status = 'failed'").collect()
+    assert {(row.table_name, row.rows_rejected) for row in failed} == {
+        ("crm_cust_info", 11), ("(all)", None),
     }
+    assert all("11 rejected lines, 0 allowed" in row.message for row in failed)
+    # The table of the last good load is still there, and the bad lines are kept.
+    assert [row.cst_id for row in store.bronze("crm_cust_info").collect()] == [7]
+    assert [row.line for row in store.rejects().collect()] == ["x,,,,,,"] * 11
     store.load_extracts(folder, extracts, max_rejects=None)
-    assert store.log.read().filter("table_name = 'crm_cust_info' and status = 'ok'").first().rows_rejected == 11
+    assert max(row.rows_rejected for row in store.log.read().filter("status = 'ok'").collect() if row.rows_rejected is not None) == 11
 
 
 def test_missing_extract_raises_and_is_logged(job, tmp_path):
@@ -120,3 +127,86 @@ def test_reload_replaces_and_log_grows(spark, job):
     assert store.bronze("erp_loc_a101").count() == 1
     loads = store.log.read().filter("table_name = 'erp_loc_a101'").orderBy("finished_at")
     assert [row.rows_loaded for row in loads.collect()] == [2, 1]
+
+
+def test_every_rejected_line_is_kept_with_its_file(job, tmp_path):
+    text = HEADER + "\n1,K1,a,b,S,F,2025-01-02\n2,K2\nx,K3,a,\"b, c\",S,F,2025-01-02\n"
+    write(tmp_path, "a.csv", text)
+    store = Warehouse(job)
+    store.load_extracts(str(tmp_path), [Extract("crm_cust_info", "a.csv")], max_rejects=2)
+    kept = store.rejects().collect()
+    assert sorted(row.line for row in kept) == ["2,K2", 'x,K3,a,"b, c",S,F,2025-01-02']
+    assert {row.table_name for row in kept} == {"crm_cust_info"}
+    assert all(row.file.endswith("a.csv") for row in kept)
+
+
+def test_an_extract_of_bad_lines_alone_gives_an_empty_table(job, tmp_path):
+    write(tmp_path, "a.csv", HEADER + "\nx,,,,,,\n")
+    store = Warehouse(job)
+    store.load_extracts(str(tmp_path), [Extract("crm_cust_info", "a.csv")], max_rejects=None)
+    assert store.bronze("crm_cust_info").count() == 0 and store.rejects().count() == 1
+
+
+@pytest.mark.parametrize("lines_in_fields", [True, False])
+@pytest.mark.parametrize("text", ['AW-1,"Uni\n', '"AW-1,x\nAW-2,y\n', 'AW-1,x\nAW-2,"y'])
+def test_an_unclosed_quote_fails_the_load(job, tmp_path, text, lines_in_fields):
+    write(tmp_path, "a.csv", "cid,cntry\n" + text)
+    extract = Extract("erp_loc_a101", "a.csv", lines_in_fields=lines_in_fields)
+    with pytest.raises(UnclosedQuote, match="AW-"):
+        Warehouse(job).load_extracts(str(tmp_path), [extract], max_rejects=None)
+
+
+def test_a_split_extract_with_line_breaks_fails(job, tmp_path):
+    write(tmp_path, "a.csv", 'cid,cntry\nAW-1,"Uni\nted States"\n')
+    store = Warehouse(job)
+    with pytest.raises(UnclosedQuote, match="ted|Uni"):
+        store.load_extracts(
+            str(tmp_path), [Extract("erp_loc_a101", "a.csv", lines_in_fields=False)]
+        )
+    store.load_extracts(str(tmp_path), [Extract("erp_loc_a101", "a.csv")])
+    assert rows(store.bronze("erp_loc_a101")) == [("AW-1", "Uni\nted States")]
+
+
+def test_lenient_numbers_and_dates(spark, tmp_path):
+    path = write(tmp_path, "a.csv", HEADER + "\n"
+                 ' 5 ,K1,a,b,S,F, 2003-07-01 00:00:00\n"",K2,a,b,S,F,""\n'
+                 "6,K3,a,b,S,F,2003-07-01 10:00:00\n7.5,K4,a,b,S,F,2003\n")
+    read = read_extract(spark, path, CUSTOMERS)
+    kept, rejected = split_rejects(read)
+    assert rows(kept.select("cst_id", "cst_key", "cst_create_date")) == [
+        (5, "K1", date("2003-07-01")), (None, "K2", None),
+    ]
+    assert rejected.count() == 2
+
+
+def test_only_current_and_last_versions_are_kept(spark, job):
+    store = Warehouse(job)
+    first = spark.createDataFrame([("a", "x")], BRONZE["erp_loc_a101"])
+    held = None
+    for _ in range(4):
+        before, held = held, store.load_bronze({"erp_loc_a101": first}) and store.bronze("erp_loc_a101")
+        if before is not None:
+            assert before.count() == 1  # a query on the version before still runs
+    assert len(store.files.names(f"{store.root}/bronze/erp_loc_a101")) == 2
+
+
+def test_a_load_that_fails_halfway_publishes_nothing(spark, job, monkeypatch):
+    store = Warehouse(job)
+    first = spark.createDataFrame([("a", "x")], BRONZE["erp_loc_a101"])
+    store.load_bronze({"erp_loc_a101": first})
+
+    def broken():
+        raise RuntimeError("no such source")
+
+    with pytest.raises(RuntimeError):
+        store._load("bronze", lambda _: [
+            {"erp_loc_a101": lambda: first.limit(0)}, {"erp_px_cat_g1v2": broken},
+        ])
+    assert store.bronze("erp_loc_a101").count() == 1
+    assert len(store.files.names(f"{store.root}/bronze/erp_loc_a101")) == 1
+    assert "no such source" in store.log.read().filter("table_name = '(all)' and status = 'failed'").first().message
+
+
+def test_tables_that_were_not_loaded(job):
+    with pytest.raises(LookupError):
+        Warehouse(job).bronze("erp_loc_a101")
