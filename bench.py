@@ -67,7 +67,7 @@ def comparisons(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, float]
         F.count_if(F.col("product_key").isNull()),
     ]
     ways = {
-        "dense_key": lambda: add_dense_key(built.job, orders, ["o_custkey", "o_orderkey"], "n"),
+        "dense_key": lambda: add_dense_key(built.job, orders, ["o_custkey", "o_orderkey"], "n", stored=True),
         "one_task_window_key": lambda: orders.withColumn("n", one_task),
         "audit_one_scan": lambda: fact.agg(*checks),
         "audit_scan_per_check": lambda: reduce(

@@ -289,7 +289,7 @@ def share_labels(b: Build) -> DataFrame:
 
 def numbered_orders(b: Build) -> DataFrame:
     orders = given(b, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return add_dense_key(b.job, orders, ["o_custkey", "o_orderdate", "o_orderkey"], "order_number")
+    return add_dense_key(b.job, orders, ["o_custkey", "o_orderdate", "o_orderkey"], "order_number", stored=True)
 
 
 def latest_orders(b: Build) -> DataFrame:

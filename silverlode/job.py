@@ -34,6 +34,8 @@ class Job:
     as_of: dt.date | None = None
     limits: Limits = field(default_factory=Limits)
     folder: str | None = None
+    # Hot keys that were looked up, by what was asked (see `operators.joins.hot_keys`).
+    found_hot: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         if self.folder is None:
@@ -48,7 +50,7 @@ class Job:
 
     def part(self, name: str) -> Job:
         """A job with a folder of its own inside this one's, to be removed when it is done."""
-        return replace(self, folder=f"{self.folder}/{name}-{uuid.uuid4().hex}")
+        return replace(self, folder=f"{self.folder}/{name}-{uuid.uuid4().hex}", found_hot={})
 
     def remove(self) -> None:
         """Remove the folder with all that was staged; nothing read from it may be used later."""

@@ -53,8 +53,10 @@ def with_next_value(
     """Add `name`: the `value` of the next row of the same key in `order`, NULL on the last.
 
     Normal keys: one window. Rows of hot keys are sorted across tasks, numbered, and each is
-    joined to the row one number later, so no task holds a whole hot key.
+    joined to the row one number later, so no task holds a whole hot key. Rows that tie in
+    `order` follow each other by their other columns, so both ways give the same.
     """
+    order = [*order, *(column for column in df.columns if column not in (key, *order))]
     window = Window.partitionBy(key).orderBy(*[F.asc_nulls_first(column) for column in order])
 
     def over_window(rows: DataFrame) -> DataFrame:

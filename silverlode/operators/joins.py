@@ -32,8 +32,18 @@ def hot_keys(job: Job, df: DataFrame, key: str) -> DataFrame | None:
     the limit ends here. Else the key column is sampled, thinly enough that about ten million
     sampled rows at most are grouped. Which keys count as hot decides how rows are spread, never which
     rows come out, so the sample cannot change a result. At most `2 * hot_keys` values can
-    qualify, which bounds what is broadcast.
+    qualify, which bounds what is broadcast. A job looks at the same key of the same rows once.
     """
+    asked = (df.semanticHash(), key, job.limits)
+    for before, found in job.found_hot.get(asked, []):
+        if before.sameSemantics(df):
+            return found
+    found = _find_hot(job, df, key)
+    job.found_hot.setdefault(asked, []).append((df, found))
+    return found
+
+
+def _find_hot(job: Job, df: DataFrame, key: str) -> DataFrame | None:
     total = df.count()
     limit = job.limits.hot_limit(total)
     if total <= limit:
@@ -56,15 +66,14 @@ def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataF
 
 
 def is_small(job: Job, df: DataFrame) -> bool:
-    """Whether `df` may be broadcast: its rows and the bytes of its values are counted, since
-    the declared text lengths are not enforced."""
+    """Whether `df` may be broadcast. Its rows are counted first, for a stored table from the
+    file footers; only a table of few rows is read, to sum the bytes of its values, since the
+    declared text lengths are not enforced."""
+    if df.count() > job.limits.broadcast_rows:
+        return False
     values = [F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) for name in df.columns]
-    size = df.agg(
-        F.count("*").alias("rows"),
-        F.coalesce(F.sum(reduce(Column.__add__, values).cast("bigint")), F.lit(0)).alias("bytes"),
-    ).first()
-    limits = job.limits
-    return size["rows"] <= limits.broadcast_rows and size["bytes"] <= limits.broadcast_bytes
+    size = df.agg(F.sum(reduce(Column.__add__, values).cast("bigint"))).first()[0] or 0
+    return size <= job.limits.broadcast_bytes
 
 
 def balanced_join(
@@ -84,7 +93,10 @@ def balanced_join(
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
     if how == "left_semi":
-        right = right.select(right_key).distinct()
+        keys = right.select(right_key)
+        right = keys.distinct()
+        if keys.count() > job.limits.broadcast_rows:
+            right = job.stage(right, "distinct_keys")  # made distinct once, measured and joined
     on_key = F.col(left_key) == F.col(right_key)
     if is_small(job, right):
         return left.join(F.broadcast(right), on_key, how)

@@ -13,20 +13,21 @@ from silverlode.job import Job
 _POSITION_BITS = 33
 
 
-def add_dense_key(job: Job, df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+def add_dense_key(
+    job: Job, df: DataFrame, order: Sequence[str], name: str, stored: bool = False
+) -> DataFrame:
     """Add `name`: 1..n over all rows in `order` (ascending, NULL first), as a bigint.
 
     The rows are range-partitioned and sorted in parallel; a row's key is its position in its
-    range plus the number of rows in the ranges before it. The place of the row in the staged
-    files ends the sort order, which makes it total: copies of one value are split over several
-    ranges, and a repeated task gives the same positions.
+    range plus the number of rows in the ranges before it. The number of the row in the scan of
+    the staged files ends the sort order, which makes it total: copies of one value are split
+    over several ranges, and a repeated task gives the same positions. Say `stored` when `df` is
+    a stored table or columns of one, which need not be staged.
     """
-    staged = job.stage(df, "keyless").select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_index"),
+    staged = (df if stored else job.stage(df, "keyless")).withColumn(
+        "_number", F.monotonically_increasing_id()
     )
-    total_order = [F.asc_nulls_first(column) for column in [*order, "_file", "_index"]]
+    total_order = [F.asc_nulls_first(column) for column in [*order, "_number"]]
     ranged = staged.repartitionByRange(*total_order).sortWithinPartitions(*total_order)
     place = F.monotonically_increasing_id()
     placed = ranged.select(*df.columns, place.alias("_place")).select(

@@ -1,4 +1,5 @@
-"""Top-k and bottom-k. Each task keeps k rows, so only k rows per task reach the final sort."""
+"""Top-k and bottom-k. Each task keeps k rows, so only k rows per task reach the final sort, which
+is one task: k is the caller's choice and has to fit there."""
 
 from __future__ import annotations
 

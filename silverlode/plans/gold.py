@@ -43,7 +43,8 @@ def dim_customer(
 def dim_product(job: Job, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Products valid today with their category."""
     current = number_rows(products.filter(F.col("prd_end_dt").isNull()))
-    joined = balanced_join(job, current, categories, "cat_id", "id")
+    kinds = categories.select("id", "cat", "subcat", "maintenance")
+    joined = balanced_join(job, current, kinds, "cat_id", "id")
     rows = joined.select(
         F.col("prd_id").alias("product_id"),
         F.col("prd_key").alias("product_number"),

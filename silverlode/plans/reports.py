@@ -70,11 +70,14 @@ def report_customers(job: Job, customers: DataFrame, sales: DataFrame) -> DataFr
 
 def report_products(job: Job, products: DataFrame, sales: DataFrame) -> DataFrame:
     """Products with at least one dated sale; others are not listed."""
-    unit_price = F.col("sales_amount").cast("double") / F.nullif("quantity", F.lit(0))
+    # Decimals add up to the same whatever their order, so rounding never depends on it.
+    unit_price = F.col("sales_amount").cast("decimal(20,0)") / F.nullif("quantity", F.lit(0)).cast(
+        "decimal(10,0)"
+    )
     activity = group_with_distinct(sales, "product_key", [
         sum_or_zero(F.col("sales_amount")).alias("total_sales"),
         sum_or_zero(F.col("quantity")).alias("total_quantity"),
-        F.round(F.avg(unit_price), 1).alias("avg_selling_price"),
+        F.round(F.avg(unit_price), 1).cast("double").alias("avg_selling_price"),
         F.min("order_date").alias("first_sale_date"),
         F.max("order_date").alias("last_sale_date"),
     ], {"total_orders": "order_number", "total_customers": "customer_key"})

@@ -1,10 +1,10 @@
 from conftest import date, rows
 from silverlode.plans import audits, gold
-from silverlode.schemas import GOLD, SILVER
+from silverlode.schemas import GOLD, CLEAN
 
 
 def clean(job, table, values):
-    return job.stage(job.spark.createDataFrame(values, SILVER[table]), table)
+    return job.stage(job.spark.createDataFrame(values, CLEAN[table]), table)
 
 
 def customer(cst_id, key, gender="N/A"):
@@ -94,7 +94,7 @@ def test_keys_do_not_depend_on_partitioning(spark, job):
     for partitions in (1, 3, 9):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         customers = job.stage(
-            spark.createDataFrame(values, SILVER["crm_cust_info"]).repartition(partitions), "customers"
+            spark.createDataFrame(values, CLEAN["crm_cust_info"]).repartition(partitions), "customers"
         )
         results.append(rows(gold.dim_customer(
             job, customers, clean(job, "erp_cust_az12", details), clean(job, "erp_loc_a101", []),

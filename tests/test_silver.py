@@ -2,7 +2,7 @@ import pytest
 
 from conftest import date, rows
 from silverlode.plans import silver
-from silverlode.schemas import BRONZE, SILVER
+from silverlode.schemas import BRONZE, CLEAN
 
 
 def raw(spark, table, values):
@@ -94,7 +94,7 @@ def test_dates_are_shared_by_the_lines_of_an_order(spark, job, hot_job):
     columns = ["sls_ord_num", "sls_order_dt", "sls_ship_dt", "sls_due_dt"]
     for one_job in (job, hot_job):
         got = silver.clean_sales(one_job, job.stage(df, "sales"))
-        assert got.columns == SILVER["crm_sales_details"].fieldNames()
+        assert got.columns == CLEAN["crm_sales_details"].fieldNames()
         assert rows(got.select(columns)) == expected
 
 
@@ -113,7 +113,7 @@ def test_locations_need_a_customer(spark, job, hot_job):
     customers = job.stage(spark.createDataFrame([
         (1, "AW1", None, None, None, None, None), (2, "AW2", None, None, None, None, None),
         (3, None, None, None, None, None, None), (4, "AW1", None, None, None, None, None),
-    ], SILVER["crm_cust_info"]), "customers")
+    ], CLEAN["crm_cust_info"]), "customers")
     df = raw(spark, "erp_loc_a101", [("AW-1", "DE"), ("A-W-1", "us "), ("AW-9", "FR"), (None, "FR"), ("AW2", None)]
              + [("AW-1", "xx")] * 5)
     df = job.stage(df, "locations")
