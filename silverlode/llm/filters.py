@@ -24,7 +24,7 @@ def bitmap(df: DataFrame, hashed: Column, bits: int = BITS) -> bytes:
         .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit(_CHUNK - 1))).alias("bits"))
     )
     whole = bytearray(bits // 8)
-    for row in chunks.toLocalIterator():
+    for row in chunks.collect():  # bits / 2**15 rows at most
         whole[row.chunk * _CHUNK // 8 : (row.chunk + 1) * _CHUNK // 8] = row.bits
     return bytes(whole)
 

@@ -29,9 +29,8 @@ def components(job: Job, links: DataFrame) -> DataFrame:
             labels = parents.select("node", F.col("parent").alias("label"))
         else:
             step = parents.select(F.col("node").alias("label"), "parent")
-            labels = job.stage(
-                labels.join(step, "label", "left")
-                .select("node", F.coalesce("parent", "label").alias("label")), "labels",
+            labels = labels.join(step, "label", "left").select(
+                "node", F.coalesce("parent", "label").alias("label")
             )
         moved = (
             links.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("x")), "a")

@@ -13,9 +13,10 @@ similarity of their multisets is at least 0.8, and a class is everything links c
 - Bands: 24 of 5 components. A pair at 0.8 shares a band with a probability above 0.9999.
 - Equal texts are one node from the start. In each bucket every node is compared with one pivot,
   the node that has most company over all its buckets (near-copies resemble their source more
-  than each other), so a bucket costs its size. What pivots leave open, pairs in one bucket that
-  are not yet connected, is compared as well, except pairs that counts prove to be below 0.8: a
-  shingle that no other open node has cannot be shared, which bounds the overlap of a pair.
+  than each other), so a bucket costs its size. What that leaves open, buckets with nodes that
+  are not connected yet, is compared with a second pivot, the node with the least share of
+  shingles that no other open node has. Pairs open even then are compared as well, except those
+  that these counts prove to be below 0.8.
 - Links and components stay distributed tables.
 
 Null texts are never copies of anything. Texts without words are copies only of the same text.
@@ -75,10 +76,9 @@ def near_duplicates(
              F.count("*").alias("copies")),
         "nodes",
     )
-    links = _links(job, docs, text, signed, nodes)
+    labels = _labels(job, docs, text, signed, nodes)
     classes = nodes.withColumn("label", F.col("node"))
-    if links is not None:
-        labels = components(job, links)
+    if labels is not None:
         named = labels.join(nodes, "node").groupBy("label").agg(
             F.min("first_doc").alias("label_doc"), F.sum("copies").alias("label_rows")
         )
@@ -110,47 +110,88 @@ def _keys(text: str) -> list[Column]:
     ]
 
 
-def _links(
+def _labels(
     job: Job, docs: DataFrame, text: str, signed: DataFrame, nodes: DataFrame
 ) -> DataFrame | None:
-    """Links (a, b) between nodes whose components are the classes."""
+    """(node, label) of the nodes that are linked to others; None without any link."""
     first_rows = signed.join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi")
     banded = first_rows.select(F.col("_id").alias("node"), F.explode("bands").alias("band"))
     crowded = banded.groupBy("band").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     members = job.stage(banded.join(crowded, "band"), "members")
     if members.isEmpty():
         return None
-    company = members.groupBy("node").agg(F.sum("crowd").alias("company"))
+    bags = job.stage(_bags(docs, text, members, nodes), "bags")
+
+    # First round: the pivot is the node with most company over all its buckets.
+    company = members.groupBy("node").agg(F.sum("crowd").alias("rank"))
+    compared, rest = _round(job, members.join(company, "node").select("band", "node", "rank"))
+    labels = _merged(job, None, job.stage(_similar(compared, bags), "links"))
+    open_members = job.stage(_open(rest, labels), "open")
+    if open_members.isEmpty():
+        return labels
+
+    # Second round, on what is open: the node with the least share of shingles of its own.
+    left, few = _possible(job, open_members, bags)
+    ranked = left.select("band", "node", (F.col("shared") / F.col("n")).alias("rank"))
+    again, rest = _round(job, ranked)
+    again = job.stage(again.join(compared, ["a", "b"], "left_anti"), "pairs")
+    labels = _merged(job, labels, job.stage(_similar(again, bags), "links"))
+    left = job.stage(_open(left.drop("label").join(rest, ["band", "node"]), labels), "open")
+    if left.isEmpty():
+        return labels
+
+    # All pairs still open.
+    pairs = _pairs(left, few).join(compared.union(again), ["a", "b"], "left_anti")
+    return _merged(job, labels, job.stage(_similar(job.stage(pairs, "pairs"), bags), "links"))
+
+
+def _round(job: Job, ranked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b) of each bucket's node of greatest rank with every other one, and
+    the members (band, node) other than those."""
     pivots = job.stage(
-        members.join(company, "node").groupBy("band")
-        .agg(F.max(F.struct("company", -F.col("node"))).alias("best"))
+        ranked.groupBy("band").agg(F.max(F.struct("rank", -F.col("node"))).alias("best"))
         .select("band", (-F.col("best.col2")).alias("pivot")),
         "pivots",
     )
-    compared = job.stage(
-        members.join(pivots, "band").filter("node <> pivot")
-        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        .distinct(),
-        "pairs",
-    )
-    bags = job.stage(_bags(docs, text, members, nodes), "bags")
-    links = job.stage(_similar(compared, bags), "links")
+    others = ranked.select("band", "node").join(pivots, "band").filter("node <> pivot")
+    pairs = others.select(
+        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    ).distinct()
+    return job.stage(pairs, "pairs"), others.select("band", "node")
+
+
+def _merged(job: Job, labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The labels after more links."""
     if links.isEmpty():
-        labelled = members.withColumn("label", F.col("node"))
-    else:
-        labelled = members.join(components(job, links), "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-    # Pivots have met everyone in their buckets; what is open lies among the others.
-    others = labelled.join(pivots, "band").filter("node <> pivot").select("band", "node", "label")
-    open_members = job.stage(_of_several(others), "open_members")
-    if open_members.isEmpty():
-        return links
-    more = job.stage(
-        _similar(_possible(job, open_members, bags).join(compared, ["a", "b"], "left_anti"), bags),
-        "more_links",
+        return labels
+    if labels is None:
+        return job.stage(components(job, links), "labels")
+    known = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
+    lifted = (
+        links.join(known, "a", "left")
+        .join(known.select(F.col("a").alias("b"), F.col("x").alias("y")), "b", "left")
+        .select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    )
+    fresh = (
+        links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+        .join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    )
+    step = components(job, job.stage(lifted, "links")).select(
+        F.col("node").alias("label"), F.col("label").alias("parent")
+    )
+    return job.stage(
+        labels.union(fresh).join(step, "label", "left")
+        .select("node", F.coalesce("parent", "label").alias("label")), "labels",
+    )
+
+
+def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members of buckets that hold more than one label, with their labels."""
+    if labels is None:
+        return _of_several(members.withColumn("label", F.col("node")))
+    return _of_several(
+        members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     )
-    return links.union(more)
 
 
 def _of_several(members: DataFrame) -> DataFrame:
@@ -161,32 +202,78 @@ def _of_several(members: DataFrame) -> DataFrame:
     return members.join(several.select("band"), "band", "left_semi")
 
 
-def _possible(job: Job, open_members: DataFrame, bags: DataFrame) -> DataFrame:
-    """Pairs (a, b) in one bucket, not connected yet, that may be similar.
+def _possible(
+    job: Job, open_members: DataFrame, bags: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The open members whose buckets may still hold a link, and (n, nodes) for each item that
+    only one to three open nodes hold.
 
-    An overlap is at most the lesser of both counts of shingles that others have too; the
-    similarity it allows must reach 0.8: overlap >= 4/9 of the sum of both sizes.
+    Of a node's n items, `shared` are held by another open node as well and `common` by three
+    others or more. A node overlaps with another one in its shared items at most, so with fewer
+    than 0.8 of n it has no link. One sum per item finds its holders: least, greatest and, by
+    exclusive or, the one between.
     """
     held = bags.join(open_members.select("node").distinct(), "node", "left_semi")
-    alone = (
+    between = F.col("all").bitwiseXOR(F.col("least")).bitwiseXOR(F.col("most"))
+    few = job.stage(
         held.select("node", F.explode("items").alias("item")).groupBy("item")
-        .agg(F.count("*").alias("holders"), F.min("node").alias("node")).filter("holders = 1")
-        .groupBy("node").agg(F.count("*").alias("alone"))
+        .agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"),
+             F.bit_xor("node").alias("all"))
+        .filter("n <= 3")
+        .select("n", F.when(F.col("n") == 1, F.array("least"))
+                .when(F.col("n") == 2, F.array("least", "most"))
+                .otherwise(F.array("least", between, "most")).alias("nodes")),
+        "few_holders",
     )
-    sizes = held.select("node", F.size("items").alias("n")).join(alone, "node", "left").select(
-        "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared")
+    counts = few.select("n", F.explode("nodes").alias("node")).groupBy("node").agg(
+        F.count_if(F.col("n") == 1).alias("alone"), F.count_if(F.col("n") > 1).alias("few")
+    )
+    size, none = F.size("items"), F.lit(0)
+    sizes = held.join(counts, "node", "left").select(
+        "node", size.alias("n"), (size - F.coalesce("alone", none)).alias("shared"),
+        (size - F.coalesce("alone", none) - F.coalesce("few", none)).alias("common"),
     )
     left = job.stage(
         _of_several(open_members.join(sizes.filter("5 * shared >= 4 * n"), "node")), "open_left"
     )
-    a = left.select("band", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "shared")))
-    b = left.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "shared")))
-    return (
-        a.join(b, "band")
+    return left, few.filter("n > 1")
+
+
+def _pairs(left: DataFrame, few: DataFrame) -> DataFrame:
+    """Pairs (a, b) in one bucket, not connected yet, whose similarity can reach 0.8, that is
+    whose overlap can be 4/9 of the sum of both sizes.
+
+    Two nodes that no item of few holders joins overlap in common items only, at most in the
+    lesser count of both; such pairs are listed once, in their first bucket. For two nodes that
+    such items join, these are counted and add to that.
+    """
+    nodes = left.groupBy("node", "label", "n", "common").agg(F.collect_set("band").alias("bands"))
+    columns = ("node", "label", "n", "common", "bands")
+    a = nodes.select(*(F.col(name).alias(f"{name}_a") for name in columns))
+    b = nodes.select(*(F.col(name).alias(f"{name}_b") for name in columns))
+    by_band = (
+        a.withColumn("band", F.explode("bands_a")).join(b.withColumn("band", F.explode("bands_b")),
+                                                        "band")
         .filter("node_a < node_b and label_a <> label_b "
-                "and 9 * least(shared_a, shared_b) >= 4 * (n_a + n_b)")
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+                "and 9 * least(common_a, common_b) >= 4 * (n_a + n_b) "
+                "and band = array_min(array_intersect(bands_a, bands_b))")
+        .select("node_a", "node_b")
+    )
+    ends = F.array(*(
+        F.struct(F.get("nodes", F.lit(i)).alias("node_a"), F.get("nodes", F.lit(j)).alias("node_b"))
+        for i, j in ((0, 1), (0, 2), (1, 2))
+    ))
+    joined = (
+        few.select(F.explode(ends).alias("pair")).select("pair.*").filter("node_b is not null")
+        .groupBy("node_a", "node_b").agg(F.count("*").alias("between"))
+    )
+    by_item = (
+        joined.join(a.drop("bands_a"), "node_a").join(b.drop("bands_b"), "node_b")
+        .filter("label_a <> label_b "
+                "and 9 * (least(common_a, common_b) + between) >= 4 * (n_a + n_b)")
+        .select("node_a", "node_b")
     )
+    return by_band.union(by_item).distinct().toDF("a", "b")
 
 
 def _bags(docs: DataFrame, text: str, members: DataFrame, nodes: DataFrame) -> DataFrame:
