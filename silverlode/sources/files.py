@@ -31,12 +31,12 @@ class Files:
         finally:
             stream.close()
 
-    def write_new(self, path: str, text: str) -> None:
-        """Write a file that appears with all its text or not at all; it must not exist yet."""
+    def write_new(self, path: str, data: str | bytes) -> None:
+        """Write a file that appears with all its data or not at all; it must not exist yet."""
         system, place = self._at(path)
         _, draft = self._at(f"{path}.{uuid.uuid4().hex}.draft")
         stream = system.create(draft, False)
-        stream.write(bytearray(text.encode()))
+        stream.write(bytearray(data.encode() if isinstance(data, str) else data))
         stream.close()
         if system.exists(place) or not system.rename(draft, place):
             system.delete(draft, False)
