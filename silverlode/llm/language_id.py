@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from silverlode.llm import text as tx
 from silverlode.llm.folds import held_out
+from silverlode.llm.shipping import in_arrow
 
 GRAM = 4
 BUCKETS = 1 << 16
@@ -98,7 +99,7 @@ def learn(known: DataFrame) -> Model:
                  pa.array(total[met], pa.int64())], names=counted.names,
             )
 
-    sums = known.mapInArrow(count, counted).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = in_arrow(known, count, counted).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # A row per language, its buckets as two arrays: what comes here is the model itself.
     packed = sums.groupBy("lang").agg(
         F.collect_list(F.struct("bucket", "n")).alias("counts")

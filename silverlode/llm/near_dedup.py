@@ -38,6 +38,7 @@ from silverlode.job import Job
 from silverlode.llm import text as tx
 from silverlode.llm.filters import bitmap, probe
 from silverlode.llm.graph import components
+from silverlode.llm.shipping import in_arrow
 
 SHINGLE = 5
 BANDS = 24
@@ -317,7 +318,7 @@ def _bags(docs: DataFrame, text: str, members: DataFrame, nodes: DataFrame) -> D
     column = F.col(f"`{text}`")
     rows = docs.filter(column.isNotNull()).select(*_keys(text), column.alias("_text"))
     # A copy sent by several tasks meets its equals here.
-    return rows.mapInArrow(work, result).join(wanted, ["k1", "k2"]).groupBy("node").agg(
+    return in_arrow(rows, work, result).join(wanted, ["k1", "k2"]).groupBy("node").agg(
         F.first("items").alias("items")
     )
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.llm import text as tx
+from silverlode.llm.shipping import in_arrow
 from silverlode.llm.word_bpe import word_bpe
 
 LENGTH = 4096
@@ -75,7 +76,7 @@ def pack(
             yield _batch(packer.pieces(True), ids_kind)
 
     picked = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return picked.mapInArrow(work, result)
+    return in_arrow(picked, work, result)
 
 
 def _batch(pieces: list[tuple], ids_kind: pa.DataType) -> pa.RecordBatch:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.llm import text as tx
-from silverlode.llm.folds import held_out, labelled
+from silverlode.llm.folds import hash_of, held_out, labelled
 from silverlode.llm.quality_rules import CLOSING, SEPARATORS, SYMBOLS, repeated_words
 
 BUCKETS = 1 << 12
@@ -68,12 +68,12 @@ def quality(
     """Every row with held_out, score and predicted."""
     row = docs if keep_text else docs.drop(text)
     meta = F.array(*(F.col(f"`{name}`").cast("double") for name in metadata)).cast("array<double>")
-    learnable = docs.filter(~held_out(doc_id, folds, fold)).select(
+    learnable = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"),
         meta.alias("_meta"),
     )
-    machine = train(learn_from(labelled(learnable, labels, "quality"), len(metadata)),
-                    size(len(metadata)))
+    known = labelled(learnable, labels, "quality", folds, fold, SAMPLE)
+    machine = train(learn_from(known), size(len(metadata)))
     scored = docs.select(
         tx.whole_row(row), held_out(doc_id, folds, fold).alias("_held"),
         F.struct(F.col(f"`{text}`").alias("text"), meta.alias("meta")).alias("_text"),
@@ -97,14 +97,10 @@ def size(metadata: int) -> int:
     return BUCKETS + len(STATISTICS) + 2 * metadata
 
 
-def learn_from(known: DataFrame, metadata: int) -> tuple[Sparse, np.ndarray]:
-    """Features and labels of about SAMPLE texts with the least hashes, in their order."""
-    hashed = F.xxhash64(F.col("doc_id").cast("string"))
-    share = SAMPLE / max(known.count(), 1)
-    if share < 1:
-        known = known.filter(hashed < int(2.0**64 * share - 2.0**63))
+def learn_from(known: DataFrame) -> tuple[Sparse, np.ndarray]:
+    """Features and labels of the training texts, in the order of their hashes."""
     picked = known.select(
-        hashed.alias("hash"), "label",
+        hash_of("doc_id").alias("hash"), "label",
         F.struct(F.col("_text").alias("text"), F.col("_meta").alias("meta")).alias("_text"),
     )
 

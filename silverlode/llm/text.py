@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.llm.shipping import in_arrow
+
 # Code points handled at once; a single longer text is still handled whole.
 SLICE = 1_500_000
 
@@ -151,7 +153,7 @@ def map_texts(
                     [*kept, *compute(texts[first:end])], names=[*names, *(f.name for f in fields)]
                 )
 
-    return df.mapInArrow(work, result)
+    return in_arrow(df, work, result)
 
 
 def whole_row(df: DataFrame, drop: Sequence[str] = ()) -> Column:

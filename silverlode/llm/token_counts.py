@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from silverlode.job import Job
 from silverlode.llm import text as tx
+from silverlode.llm.shipping import in_arrow
 
 # Pre-tokens sent to every task (a few MB); which they are changes no result.
 COMMON = 1 << 17
@@ -105,10 +106,10 @@ def _count_distinct(docs: DataFrame, text: str, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, tokens], names=counted.names)
 
     distinct = (
-        docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(collect, seen)
+        in_arrow(docs.select(F.col(f"`{text}`").alias("_text")), collect, seen)
         .groupBy("pretoken").agg(F.sum("times").alias("times"))
     )
-    return distinct.mapInArrow(count, counted)
+    return in_arrow(distinct, count, counted)
 
 
 def _common(counts: DataFrame) -> dict[str, int]:

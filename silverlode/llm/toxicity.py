@@ -3,14 +3,15 @@
 Tokens are words (digits, letters, code points beyond ASCII) of the lower-cased text.
 
 1. Counts: for every word, and for the first five and first four characters of longer ones, the
-   toxic and the clean training texts that have it. All labelled texts outside the held-out fold
-   are counted.
+   toxic and the clean training texts that have it. Training takes about `SAMPLE` labelled texts
+   outside the held-out fold, those with the least hash of the id, or all if there are fewer.
 2. Log-odds with an informative Dirichlet prior: `PRIOR` pseudo-texts split as all texts are,
 
        delta = log((t + a_t) / (c + a_c)) - log(T / C),  variance 1 / (t + a_t) + 1 / (c + a_c)
 
-   A key enters the lexicon when delta exceeds `MIN_Z` standard deviations; the `LEXICON` surest
-   keys are kept, which bounds the model. A token scores by the most specific key it has there,
+   A key enters the lexicon when delta exceeds `MIN_Z` standard deviations and `MIN_ODDS`, so that
+   the words of a language or topic that is a little more toxic than others stay out; the
+   `LEXICON` surest keys are kept, which bounds the model. A token scores by the most specific key it has there,
    and every token pays `DRIFT`, so that texts score below zero on average.
 3. Segments: one linear scan finds all maximal scoring segments of a text (each is the best
    among all that overlap it).
@@ -41,13 +42,16 @@ from pyspark.sql import types as T
 from silverlode.job import Job
 from silverlode.llm import text as tx
 from silverlode.llm.folds import held_out, labelled
+from silverlode.llm.shipping import in_arrow
 
+SAMPLE = 50_000
 PREFIXES = (5, 4)
 PRIOR = 0.5
 MIN_Z = 3.5
+MIN_ODDS = 2.0
 LEXICON = 200_000
 DRIFT = 0.25
-RATE = 0.002
+RATE = 0.001
 # Distinct keys a task collects before it sends their counts on.
 COLLECTED = 1_000_000
 
@@ -68,9 +72,9 @@ def toxicity(
     """Every row with held_out, score, predicted, and segments: array of (first, end: code
     points, score, excess), the passages beyond chance."""
     plain = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    known = labelled(
-        plain.filter(~held_out("doc_id", folds, fold)), labels, "toxic"
-    ).select("label", F.col("text").alias("_text"))
+    known = labelled(plain, labels, "toxic", folds, fold, SAMPLE).select(
+        "label", F.col("text").alias("_text")
+    )
     lexicon = learn(Job(spark), known)
     return score(docs, lexicon, text, keep_text, {
         "held_out": held_out(doc_id, folds, fold)
@@ -117,14 +121,15 @@ def learn(job: Job, known: DataFrame) -> Lexicon:
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0)
     last_quarter = F.pmod(F.xxhash64("_text"), F.lit(4)) == 0
     counts = (
-        known.filter(~last_quarter).mapInArrow(_count, counted).groupBy("key").agg(F.sum("t").alias("t"),
-                                                             F.sum("c").alias("c"))
+        in_arrow(known.filter(~last_quarter), _count, counted)
+        .groupBy("key").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     )
     share = toxic / (toxic + clean)
     t, c = F.col("t") + PRIOR * share, F.col("c") + PRIOR * (1 - share)
     surest = (
         counts.filter("t > 1").withColumn("odds", F.log(t / c) - math.log(toxic / clean))
-        .withColumn("z", F.col("odds") / F.sqrt(1 / t + 1 / c)).filter(F.col("z") >= MIN_Z)
+        .withColumn("z", F.col("odds") / F.sqrt(1 / t + 1 / c))
+        .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
         .orderBy(F.desc("z"), "key").limit(LEXICON)
     )
     rows = sorted((row.key & 0xFFFFFFFFFFFFFFFF, row.odds) for row in surest.collect())
@@ -290,7 +295,7 @@ def _calibrated(clean: DataFrame, lexicon: Lexicon) -> Lexicon:
                 )
 
     rows = (
-        clean.mapInArrow(work, result).groupBy("best")
+        in_arrow(clean, work, result).groupBy("best")
         .agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()
     )
     tokens = max(sum(row.n for row in rows), 1)
