@@ -210,3 +210,13 @@ def test_a_load_that_fails_halfway_publishes_nothing(spark, job, monkeypatch):
 def test_tables_that_were_not_loaded(job):
     with pytest.raises(LookupError):
         Warehouse(job).bronze("erp_loc_a101")
+
+
+def test_nothing_staged_is_left_after_a_load(spark, job):
+    store = Warehouse(job)
+    details = spark.createDataFrame([("NASAW1", None, "F")], BRONZE["erp_cust_az12"])
+    store._load("bronze", lambda work: [
+        {"erp_cust_az12": lambda: work.stage(details, "aside")},
+    ])
+    assert store.bronze("erp_cust_az12").count() == 1
+    assert store.files.names(job.folder) == ["warehouse"]

@@ -20,6 +20,7 @@ from silverlode.operators import (
     with_next_value,
 )
 from silverlode.operators.joins import is_small
+from silverlode.sources import Files
 
 
 def stored(job, values, schema, parts=3):
@@ -209,3 +210,35 @@ def test_ranking_with_ties_and_nulls(spark):
     assert rows(top_row_numbers(df, "v", 3, ["k"], "n")) == [("a", 10, 1), ("b", 10, 2), ("c", 8, 3)]
     assert rows(top_dense_ranks(df, "v", 2, "r")) == [("a", 10, 1), ("b", 10, 1), ("c", 8, 2), ("d", 8, 2)]
     assert ("f", None, 4) in rows(top_dense_ranks(df, "v", 4, "r"))
+
+
+def test_many_rows_are_not_read_to_measure_their_bytes(job):
+    class Counted:
+        """Only its rows can be asked for."""
+
+        def count(self):
+            return job.limits.broadcast_rows + 1
+
+    assert not is_small(job, Counted())
+
+
+def test_hot_keys_are_looked_up_once(hot_job, skewed):
+    first = hot_keys(hot_job, skewed, "k")
+    assert hot_keys(hot_job, skewed.select("*"), "k") is first
+    assert hot_keys(hot_job, skewed.filter("v > 1"), "k") is not first
+
+
+def test_stored_rows_are_staged_once_for_a_dense_key(spark, job):
+    stored = job.stage(spark.range(100), "given")
+    keyed = add_dense_key(job, stored, ["id"], "n", stored=True)
+    assert [row.n for row in keyed.orderBy("id").collect()] == list(range(1, 101))
+    names = [name.split("-")[0] for name in Files(spark).names(f"{job.folder}/staged")]
+    assert sorted(names) == ["given", "placed"]
+
+
+def test_next_value_of_ties_does_not_depend_on_hot_keys(spark, job):
+    rows_ = [("a", 1, k, str(k % 3)) for k in range(40)]
+    df = job.stage(spark.createDataFrame(rows_, "k string, o int, v int, w string"), "ties")
+    hot = Job(spark, limits=Limits(broadcast_rows=0, hot_rows=2), folder=job.folder)
+    got = [rows(with_next_value(one, df, "k", ["o"], "v", "next")) for one in (job, hot)]
+    assert got[0] == got[1]
