@@ -31,6 +31,8 @@ GRAM = 5
 # join shuffles, with the windows of each text dealt over SALTS partitions.
 BROADCAST_WINDOWS = 200_000
 SALTS = 16
+# Contaminated documents plus their items that may travel to every task (tens of bytes each).
+BROADCAST_ITEMS = 500_000
 
 _HITS = T.ArrayType(T.StructType([
     T.StructField("fingerprint", T.LongType()), T.StructField("first", T.LongType()),
@@ -80,7 +82,13 @@ def contamination(
         ),
         lambda reached: reached.hit,
     )
-    judged = spans.join(items, "_id", "left").select("_id", covered.alias("hit"), "items")
+    judged = job.stage(
+        spans.join(items, "_id", "left").select("_id", covered.alias("hit"), "items"), "judged"
+    )
+    # A large number of contaminated documents, or of items in them, meets the rest by shuffle.
+    size = judged.agg(F.count("*"), F.sum(F.size(F.coalesce("items", F.array())))).first()
+    if size[0] + (size[1] or 0) <= BROADCAST_ITEMS:
+        judged = F.broadcast(judged)
     listed = F.coalesce("items", F.array().cast("array<string>"))
     return tx.unfold(found.drop("hits").join(judged, "_id", "left"), row, {
         "n_words": F.col("n_words"),

@@ -44,6 +44,8 @@ SHINGLE = 5
 BANDS = 24
 ROWS = 5
 SIZE = BANDS * ROWS
+# Texts of classes of several rows (about 50 bytes each) that may travel to every task.
+BROADCAST_TEXTS = 500_000
 # Keys of texts that a task remembers having sent, so copies in it are sent once.
 REMEMBERED = 200_000
 # Points of one shingle made at once.
@@ -77,7 +79,8 @@ def near_duplicates(
              F.count("*").alias("copies")),
         "nodes",
     )
-    labels = _labels(job, docs, text, signed, nodes)
+    work = job.part("near_dedup")
+    labels = _labels(work, docs, text, signed, nodes)
     classes = nodes.withColumn("label", F.col("node"))
     if labels is not None:
         named = labels.join(nodes, "node").groupBy("label").agg(
@@ -93,8 +96,11 @@ def near_duplicates(
             )
         )
     # Rows of classes of one need no join.
-    shared = job.stage(classes.filter("copies > 1"), "classes")
-    placed = signed.join(shared.drop("node"), ["k1", "k2"], "left")
+    shared = job.stage(classes.filter("copies > 1").drop("node"), "classes")
+    work.remove()
+    if shared.count() <= BROADCAST_TEXTS:
+        shared = F.broadcast(shared)
+    placed = signed.join(shared, ["k1", "k2"], "left")
     return tx.unfold(placed, row, {
         "class_id": F.when(F.col("label").isNull(), F.col("_doc")).otherwise(F.col("first_doc")),
         "class_rows": F.coalesce("copies", F.lit(1).cast("long")),
