@@ -37,6 +37,8 @@ from silverlode.llm.word_bpe import word_bpe
 
 LENGTH = 4096
 BLOCK = 1_000_000
+# Code points encoded at once.
+SLICE = 400_000
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 48
 INNER_STEP = 64
@@ -61,7 +63,7 @@ def pack(
         for batch in batches:
             ids_kind = batch.schema.field("doc_id").type
             texts, names = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
-            for first, end in tx.slices(texts):
+            for first, end in tx.slices(texts, SLICE):
                 encoded = bpe.encode(texts[first:end])
                 for row in range(end - first):
                     low, high = encoded.offsets[row : row + 2]

@@ -18,8 +18,8 @@ from silverlode.llm import text as tx
 
 # Beyond this many code points a text goes to the library; below, no code point composes.
 PLAIN = 0x250
-# Distinct words a worker remembers (about 200 MB) before it starts anew.
-REMEMBERED = 1_000_000
+# Distinct words a worker remembers (about 50 MB) before it starts anew.
+REMEMBERED = 300_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _WHITE = {9, 10, 11, 12, 13, 32, 0x85, 0xA0}
 
@@ -75,7 +75,7 @@ class WordBpe:
             number for word, number in self.library.get_vocab().items()
             if word.removesuffix("</w>")[-1:] in (".", "!", "?") and word.endswith("</w>")
         }
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> Ids:
         points, offsets = tx.code_points(texts)
@@ -128,11 +128,11 @@ class WordBpe:
                        np.zeros(0, np.int64))
         names, which = tx.distinct_runs(lowered, words.starts, words.ends)
         each = self._look_up(names)
-        size = np.array([len(ids) for ids in each])
+        size = np.array([len(ids) for ids in each]) // 4
         first = np.cumsum(size) - size
         taken = size[which]
         ends = np.cumsum(taken)
-        ids = np.concatenate(each)[
+        ids = np.frombuffer(b"".join(each), np.uint32)[
             np.repeat(first[which] - (ends - taken), taken) + np.arange(ends[-1])
         ]
         last = points[words.ends - 1]
@@ -143,7 +143,7 @@ class WordBpe:
         per_text = np.concatenate(([0], ends))[tx.segments(words.row, len(offsets) - 1)]
         return Ids(ids, per_text, ends[closing & after[words.ends]])
 
-    def _look_up(self, names: list[str]) -> list[np.ndarray]:
+    def _look_up(self, names: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         found = list(map(self.known.get, names))
@@ -152,14 +152,14 @@ class WordBpe:
                 found[place] = self.known[names[place]] = self._one(names[place])
         return found
 
-    def _one(self, word: str) -> np.ndarray:
+    def _one(self, word: str) -> bytes:
         if "'" in word:
             numbers = self.library.encode(word, add_special_tokens=False).ids
         else:
             if not word.isascii() or not word.isprintable():
                 word = self.as_bytes.pre_tokenize_str(word)[0][0]
             numbers = [token.id for token in self.library.model.tokenize(word)]
-        return np.array(numbers, np.uint32)
+        return np.array(numbers, np.uint32).tobytes()
 
 
 def _next_is_line_end(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
