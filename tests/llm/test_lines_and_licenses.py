@@ -1,8 +1,10 @@
 import random
+import textwrap
 from collections import defaultdict
 
 from silverlode.llm import license_scan as ls
 from silverlode.llm import line_dedup as ld
+from silverlode.llm.license_templates import TEMPLATES, TEXTS
 
 
 def brute(rows, ratio, least):
@@ -92,3 +94,61 @@ def test_blocks_cover_the_trigger_lines_of_any_text():
         covered = "".join(text[a:b] for a, b in ls.blocks(text))
         for word in ("license", "Copyright"):
             assert covered.count(word) == text.count(word)
+
+
+def wrapped(text, width=60, before=""):
+    lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+    return "\n".join(before + line for line in lines)
+
+
+def first_text(name):
+    return max((text for one, text in TEXTS if one == name), key=len)
+
+
+def test_hard_wrapped_licences_are_exact(documents):
+    prose = "Some words on the project come first.\n\n"
+    names = ["MIT", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "Apache-2.0", "ISC"]
+    for before in ("", "# ", " * "):
+        found = scan(documents, [
+            prose + wrapped(first_text(name), 60, before) + "\n\nAnd more words behind."
+            for name in names
+        ])
+        assert [(r.license, r.verdict) for r in found] == [(name, "exact") for name in names]
+        assert all(r.missing == [] and "words" not in r.block for r in found)
+
+
+def test_blank_lines_do_not_cut_a_header(documents):
+    header = first_text("Apache-2.0").replace(" http", "\n\n    http")
+    header = header.replace(" Unless", "\n\nUnless")
+    (one,) = scan(documents, [f"/*\n{header}\n*/"])
+    assert (one.license, one.verdict) == ("Apache-2.0", "exact")
+
+
+def test_first_sentences_of_wrapped_notices(documents):
+    short = [text for _, text in TEMPLATES if len(text.split()) > 15]
+    found = scan(documents, [
+        "Prose goes here.\n" + wrapped(text, 40) + "\nIt goes on." for text in short
+    ])
+    assert [r.verdict for r in found] == ["exact"] * len(short)
+    (changed,) = scan(documents, [wrapped(first_text("MIT").replace("merge, ", ""), 70)])
+    assert (changed.license, changed.verdict, changed.missing) == ("MIT", "changed", ["merge"])
+
+
+def test_aligned_spans_like_plain_search():
+    """Every span that agrees is met by one that is found."""
+    draw = random.Random(8)
+    wording = "a b c d e f g h i".split()
+    aligner = ls.Aligner([wording])
+    for _ in range(300):
+        words = []
+        for _ in range(draw.randrange(1, 4)):
+            part = [w for w in wording if draw.random() < .93]
+            for _ in range(draw.randrange(3)):
+                part.insert(draw.randrange(len(part) + 1), "x")
+            words += ["y"] * draw.randrange(3) + part
+        found = aligner(words, list(range(len(words))))
+        met = {k for one in found for k in range(one.first, one.end)}
+        for first in range(len(words)):
+            for end in range(first + 1, min(first + 15, len(words) + 1)):
+                if aligner.agreeing(0, words[first:end], first):
+                    assert met & set(range(first, end))
