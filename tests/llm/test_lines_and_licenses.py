@@ -134,6 +134,16 @@ def test_first_sentences_of_wrapped_notices(documents):
     assert (changed.license, changed.verdict, changed.missing) == ("MIT", "changed", ["merge"])
 
 
+def test_a_notice_has_one_verdict_at_every_line_length(documents):
+    texts = [
+        "Plain words here. " * n + "Released under the MIT License. " + "More of them. " * n
+        for n in (1, 10, 50, 61, 62, 63, 64, 100, 500)
+    ] + ["plain words " * n + "Released under the MIT License and more " * 2 for n in (90, 900)]
+    found = scan(documents, texts)
+    assert [r.verdict for r in found] == ["exact"] * 13
+    assert {r.block.rstrip(".") for r in found} == {"Released under the MIT License"}
+
+
 def test_aligned_spans_like_plain_search():
     """Every span that agrees is met by one that is found."""
     draw = random.Random(8)
