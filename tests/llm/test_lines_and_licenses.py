@@ -144,6 +144,19 @@ def test_a_notice_has_one_verdict_at_every_line_length(documents):
     assert {r.block.rstrip(".") for r in found} == {"Released under the MIT License"}
 
 
+def test_every_notice_of_adjoining_lines_is_reported(documents):
+    listed = [(name, text) for name, text in TEMPLATES if text.endswith(".")]
+    found = scan(documents, ["\n".join(text for _, text in listed), "\n".join(
+        ["Released under the MIT License."] * 3)])
+    assert [r.license for r in found] == [name for name, _ in listed] + ["MIT"] * 3
+    assert {r.verdict for r in found} == {"exact"}
+    (one,) = scan(documents, ["Licensed under the Apache License,\nLicensed under CC BY 4.0."])
+    assert [(n.license, n.verdict) for n in one.notices] == [
+        ("Apache-2.0", "changed"), ("CC-BY-4.0", "exact")
+    ]
+    assert one.notices[0].missing == ["version", "2.0"]
+
+
 def test_aligned_spans_like_plain_search():
     """Every span that agrees is met by one that is found."""
     draw = random.Random(8)
