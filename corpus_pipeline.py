@@ -18,7 +18,7 @@ from silverlode.llm.decontamination import contamination
 from silverlode.llm.line_dedup import drop_boilerplate
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
-from silverlode.llm.quality_rules import clean_lines
+from silverlode.llm.quality_rules import SHORT_LINE, clean_lines
 
 _WORKED_ON = ("doc_id", "text", "source")
 
@@ -38,9 +38,11 @@ def _apply(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataF
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines go, and with them the documents that fail the rules."""
+    """Failed lines go, and with them the documents that fail the rules. A boilerplate phrase
+    in a long line of other words fails nothing."""
     return _apply(
-        docs, lambda rows: clean_lines(rows).filter("kept").withColumn("text", F.col("cleaned"))
+        docs, lambda rows: clean_lines(rows, short_line=SHORT_LINE).filter("kept")
+        .withColumn("text", F.col("cleaned"))
     )
 
 

@@ -9,6 +9,9 @@ feed. A line with at least one word fails
   quarter of its words, two at least, are separators;
 - boilerplate: if it holds one of `PHRASES` in any case, or equals an earlier line of the text.
 
+With `short_line`, a phrase fails a line only if that has at most so many words or phrases make up
+`PHRASE_SHARE` of them at least; without it, any line, as the SQL of the registered query says.
+
 A text fails the base rules with fewer than 50 words, or if more than half of its words lie in
 three-word windows that the text has twice or more. It is kept if it passes them and its failed
 lines hold at most 30 % of its word characters.
@@ -37,11 +40,15 @@ PHRASES = (
     "uses cookies", "javascript is disabled", "enable javascript", "lorem ipsum",
     "subscribe to our newsletter", "click here to", "back to top", "page not found",
 )
+SHORT_LINE = 20
+PHRASE_SHARE = 0.2
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+def clean_lines(
+    docs: DataFrame, text: str = "text", short_line: int | None = None
+) -> DataFrame:
     """Every row with the counts, base_failed, lost_chars (word characters of failed lines),
     kept, and cleaned (the text without its failed lines; null for null)."""
     fields = [
@@ -49,7 +56,8 @@ def clean_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         T.StructField("cleaned", T.StringType()),
     ]
     judged = tx.map_texts(
-        docs.select(tx.whole_row(docs), F.col(f"`{text}`").alias("_text")), fields, _judge
+        docs.select(tx.whole_row(docs), F.col(f"`{text}`").alias("_text")), fields,
+        lambda texts: _judge(texts, short_line),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (2 * F.col("n_repeat_words") > F.col("n_words"))
     kept = ~failed & (10 * F.col("lost_chars") <= int(10 * MAX_LOST) * F.col("word_chars"))
@@ -63,7 +71,7 @@ _SYMBOL = np.zeros(129, bool)
 _SYMBOL[[ord(sign) for sign in SYMBOLS]] = True
 
 
-def _judge(texts) -> list[pa.Array]:
+def _judge(texts, short_line: int | None = None) -> list[pa.Array]:
     count = len(texts)
     points, offsets = tx.code_points(texts)
     words = tx.runs(tx.spaced_mask(points), offsets)
@@ -113,11 +121,14 @@ def _judge(texts) -> list[pa.Array]:
     )
     for row, text in enumerate(texts):
         lowered = text.lower() if text else ""
-        for phrase in PHRASES:
-            if phrase in lowered:
-                first, end = np.searchsorted(row_of_line, (row, row + 1))
-                for place, one in enumerate(text.split("\n")):
-                    failed[first + place] |= phrase in one.lower()
+        if any(phrase in lowered for phrase in PHRASES):
+            first = np.searchsorted(row_of_line, row)
+            for place, one in enumerate(lowered.split("\n")):
+                size = sum(one.count(phrase) * len(phrase.split()) for phrase in PHRASES)
+                failed[first + place] |= size > 0 and (
+                    short_line is None or has[first + place] <= short_line
+                    or size >= PHRASE_SHARE * has[first + place]
+                )
     failed &= has > 0
 
     def per_text(rows, weights=None):

@@ -48,6 +48,19 @@ def test_rules(stages):
     assert texts(stages[1]) == sorted((name, j[8]) for name, j in expected if j[7])
 
 
+def test_a_phrase_in_a_long_line_fails_nothing(spark, documents):
+    long = " ".join(f"word{k}" for k in range(150))
+    article = f"{long} and their privacy policy says so, page not found or not, {long[::-1]}."
+    banner = "This site uses cookies, as our privacy policy and our terms of use tell you at length."
+    small = " ".join(f"w{k}" for k in range(200)) + "."
+    wide = "privacy policy | " * 20 + "terms of use and all rights reserved"
+    found = corpus_pipeline.quality_rules(spark, documents([
+        article, f"{banner}\n{article}\nAll rights reserved.", f"{small}\n{wide}\n{small}{small}",
+        "page not found " * 20,
+    ]), SF)
+    assert texts(found.collect()) == [(0, article), (1, article), (2, f"{small}\n{small}{small}")]
+
+
 def test_lines(stages):
     rows = [(r.doc_id, r.source, r.text) for r in stages[1]]
     assert texts(stages[2]) == sorted(r[:2] for r in without_boilerplate(rows, 0.1, 5))
