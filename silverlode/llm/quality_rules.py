@@ -124,10 +124,10 @@ def _judge(texts, short_line: int | None = None) -> list[pa.Array]:
         if any(phrase in lowered for phrase in PHRASES):
             first = np.searchsorted(row_of_line, row)
             for place, one in enumerate(lowered.split("\n")):
-                size = sum(one.count(phrase) * len(phrase.split()) for phrase in PHRASES)
-                failed[first + place] |= size > 0 and (
+                held = sum(one.count(phrase) * len(phrase.split()) for phrase in PHRASES)
+                failed[first + place] |= held > 0 and (
                     short_line is None or has[first + place] <= short_line
-                    or size >= PHRASE_SHARE * has[first + place]
+                    or held >= PHRASE_SHARE * has[first + place]
                 )
     failed &= has > 0
 
