@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -7,10 +6,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from checks.compare import local_session  # noqa: E402
+from helpers import AS_OF  # noqa: E402
 from silverlode import Job, Limits  # noqa: E402
 
-AS_OF = dt.date(2025, 12, 31)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,11 +24,3 @@ def job(spark):
 def hot_job(spark):
     """Limits under which nothing is broadcast as small and three rows make a key hot."""
     return Job(spark, AS_OF, Limits(broadcast_rows=0, hot_rows=2))
-
-
-def rows(df):
-    return sorted((tuple(row) for row in df.collect()), key=repr)
-
-
-def date(text):
-    return dt.date.fromisoformat(text)

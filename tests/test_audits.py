@@ -2,7 +2,7 @@
 
 from concurrent.futures import ThreadPoolExecutor
 
-from conftest import date
+from helpers import date
 from silverlode import fixed_values as fixed
 from silverlode.plans import audits
 from silverlode.schemas import CLEAN, GOLD

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import date, rows
+from helpers import date, rows
 from silverlode import Warehouse
 from silverlode.schemas import BRONZE, EXTRACTS, Extract
 from silverlode.sources import LoadFailed, UnclosedQuote, read_extract, split_rejects

@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import date
+from helpers import date
 from silverlode import fixed_values as fixed
 from silverlode import functions as X
 

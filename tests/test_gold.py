@@ -1,4 +1,4 @@
-from conftest import date, rows
+from helpers import date, rows
 from silverlode.plans import audits, gold
 from silverlode.schemas import GOLD, CLEAN
 

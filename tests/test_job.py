@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import AS_OF
+from helpers import AS_OF
 from silverlode import Job, Limits
 from silverlode.job import shared_folder
 

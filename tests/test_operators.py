@@ -3,7 +3,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from silverlode import Job, Limits
 from silverlode.operators import (
     add_dense_key,

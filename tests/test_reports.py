@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import date, rows
+from helpers import date, rows
 from silverlode.plans import explore, practice, reports, trends
 from silverlode.schemas import GOLD
 

@@ -8,7 +8,7 @@ from checks.compare import oracle_rows, spark_rows
 from checks.extracts import spark_extracts
 from checks.oracle import ORACLE, with_blocks
 from checks.queries import ANSWERS, Build
-from conftest import date, rows
+from helpers import date, rows
 from silverlode import Job, Limits
 from silverlode.operators import balanced_join, hot_keys, with_group_max, with_next_value
 from silverlode.operators.joins import number_rows
