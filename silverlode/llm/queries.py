@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm.decontamination import contamination
+from silverlode.llm.hard_negatives import hard_negatives
 from silverlode.llm.language_id import language_mixtures
 from silverlode.llm.license_scan import license_scan
 from silverlode.llm.line_dedup import drop_boilerplate
+from silverlode.llm.merkle import fold, leaf_hash, manifest, proof_hash
 from silverlode.llm.near_dedup import near_duplicates
 from silverlode.llm.packing import pack
 from silverlode.llm.quality_model import quality
 from silverlode.llm.quality_rules import clean_lines
+from silverlode.llm.sharding import contiguous_shards, text_size
 from silverlode.llm.token_counts import token_counts
 from silverlode.llm.toxicity import toxicity
 
@@ -88,6 +91,40 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, docs, keep_text=False)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+
+    def leaf(n_chars: Column) -> Column:
+        return leaf_hash([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"), F.when(
+        hit, leaf(F.col("n_chars") + 1)).alias("tampered"))
+    proved = manifest(spark, leaves, keep=["tampered"])
+    folded = proved.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", proof_hash(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = _table(spark, sf_dir, "documents").select(
+        "doc_id", text_size().alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+    )
+    return contiguous_shards(spark, sized, order=["doc_id", "size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives(spark, vectors, is_anchor=F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -101,4 +138,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_sharding": op12_sharding,
+        "op13_hard_negatives": op13_hard_negatives,
     }

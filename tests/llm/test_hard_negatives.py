@@ -1,0 +1,127 @@
+"""Hard negatives against all scores computed in numpy."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from silverlode.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, label int, embedding array<float>"
+
+
+def brute(rows, every, positives=5, negatives=10):
+    used = [
+        (key, label, [math.floor(float(np.float32(c)) * 256) for c in x]) for key, label, x in rows
+        if key is not None and label is not None and x is not None
+        and all(c is not None and math.isfinite(c) for c in x)
+    ]
+    result = []
+    for key, label, x in used:
+        if key % every:
+            continue
+        scored = sorted(
+            (-sum(p * q for p, q in zip(x, y)), other, of) for other, of, y in used
+        )
+        same = [s for s in scored if s[2] == label and s[1] != key]
+        for score, positive, _ in same[:positives]:
+            least, most = -30 * score, -90 * score
+            own = [s for s in scored if s[2] != label and least <= -100 * s[0] <= most]
+            for rank, (negative_score, negative, _) in enumerate(own[:negatives], 1):
+                result.append((key, positive, rank, negative, -score, -negative_score))
+    return sorted(result)
+
+
+def found(spark, rows, every, **more):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    result = hn.hard_negatives(spark, frame, F.col("vec_id") % every == 0, **more)
+    return sorted(map(tuple, result.collect()))
+
+
+def clustered(count, labels, dims, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(labels, dims))
+    rows = []
+    for k in range(count):
+        label = int(min(rng.integers(0, labels + 3), labels - 1))  # the last label is hot
+        x = middles[label] * 0.2 + rng.normal(size=dims) * 0.2 * spread
+        rows.append((k, label, [float(c) for c in x]))
+    return rows
+
+
+@pytest.mark.parametrize("lists, block", [(16_384, 20_000), (37, 4)])
+def test_like_all_scores(spark, lists, block):
+    rows = clustered(900, 4, 8, seed=1)
+    expected = brute(rows, 50)
+    assert len(expected) > 100
+    assert found(spark, rows, 50, list_rows=lists, block=block) == expected
+
+
+def test_ties_and_copies(spark):
+    rng = np.random.default_rng(2)
+    rows = [
+        (k, k % 3, [float(c) / 4 for c in rng.integers(-2, 3, 5)]) for k in range(400)
+    ] + [(1000 + k, 1, [0.5, 0.5, 0.25, 0.0, 0.0]) for k in range(200)]
+    assert found(spark, rows, 20, list_rows=50) == brute(rows, 20)
+
+
+def test_rows_that_take_no_part(spark):
+    good = clustered(200, 3, 4, seed=3)
+    odd = [
+        (None, 1, [1.0] * 4), (1000, None, [1.0] * 4), (1001, 1, None), (1002, 1, [1.0, None, 1.0, 1.0]),
+        (1003, 1, [float("nan")] * 4), (1004, 1, [float("inf")] * 4), (1005, 1, []),
+        (1010, 2, [0.5]), (1100, 0, [0.0] * 4), (1200, 7, [3.0] * 4),
+    ]
+    assert found(spark, good + odd, 10) == brute(good + odd, 10)
+
+
+def test_no_rows_no_anchors_one_label(spark):
+    assert found(spark, [], 10) == []
+    assert found(spark, [(3, 1, [1.0]), (4, 2, [1.0])], 10) == []
+    assert found(spark, [(10, 1, [1.0]), (4, 1, [1.0])], 10) == []
+
+
+def test_repeated_anchor_rows(spark):
+    rows = clustered(150, 2, 3, seed=4)
+    rows += [rows[0], rows[10], rows[11], (20, 1 - rows[20][1], rows[20][2])]
+    assert found(spark, rows, 10) == brute(rows, 10)
+
+
+def test_clashing_columns(spark):
+    rows = clustered(100, 2, 3, seed=5)
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns(
+        {name: F.lit("own") for name in ("id", "x", "anchor", "score", "rank", "window")})
+    result = hn.hard_negatives(spark, frame, F.col("vec_id") % 10 == 0)
+    assert sorted(map(tuple, result.collect())) == brute(rows, 10)
+
+
+def test_scan_stops_early():
+    """A list whose rows fall off fast is left long before its end, with the right rows."""
+    rng = np.random.default_rng(6)
+    size = 8192
+    x = np.round(rng.normal(size=(size, 3)) * 10)
+    x[:20] += 500
+    order = np.argsort(x, axis=0, kind="stable")
+    columns = hn._Columns(np.arange(size), x, order, np.take_along_axis(x, order, 0))
+    read = []
+    plain = hn._Columns.unread
+
+    class Watched(hn._Columns):
+        def unread(self, *args):
+            met = plain(self, *args)
+            read.append(len(met))
+            return met
+
+    asked = hn._Asked(np.array([1]), np.array([-1]), ["a"], np.array([[3.0, 1.0, -2.0]]))
+    search, best = hn._Positives(asked, 5, size), {}
+    search._scan("a", Watched(*columns), best)
+    scores = (x @ asked.x[0]).astype(int)
+    first = np.lexsort((np.arange(size), -scores))[:5]
+    assert best[0, 0][0].tolist() == first.tolist()
+    assert sum(read) < size / 4
+
+
+def test_whole_numbers_beyond_doubles():
+    x = np.array([[float(1 << 27)] * 3]), np.array([float(1 << 27)] * 2 + [1.0])
+    assert hn._exact(*x).tolist() == [2 * (1 << 54) + (1 << 27)]

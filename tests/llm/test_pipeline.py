@@ -95,14 +95,14 @@ def test_run_is_registered(spark):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SF).count() > 0
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
     assert set(oracle.oracle_sql()) < names
 
 
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_queries_like_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     expected = connection.sql(oracle.oracle_sql()[name])
     found = queries.queries()[name](spark, SF).select(*expected.columns)
