@@ -45,7 +45,9 @@ NEGATIVES = 10
 LOW, HIGH = 30, 90  # percent of the positive's score
 
 LIST = 16_384
+# Rows of a task: every task sends up to k rows per window, so many small ones send more.
 TASK_ROWS = 65_536
+LEAST_ROWS = 4_096
 ANCHORS = 20_000
 _FIRST_DEPTH = 32
 _MOST = 1 << 27
@@ -75,7 +77,8 @@ def hard_negatives(
         ), "vectors",
     )
     facts = rows.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("dims")).first()
-    tasks = max(-(-facts.n // TASK_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(-(-facts.n // TASK_ROWS), min(parallel, -(-facts.n // LEAST_ROWS)), 1)
     candidates = rows.select("id", "label", "x").repartitionByRange(tasks, "label", "id")
     candidates = candidates.sortWithinPartitions("label", "id")
     anchors = job.stage(add_dense_key(
