@@ -51,6 +51,14 @@ select cst_id, concat('A', chr(10), cst_key) as cst_key,
   cst_firstname || chr(10) || '"quoted", and more' || chr(10) as cst_firstname, cst_lastname,
   cst_marital_status, cst_gndr || chr(10) as cst_gndr, cst_create_date
 from bronze_crm_cust_info""",
+    "s1_open_quotes": """
+select 'row' as kind, cst_key || '/b, c' as text from bronze_crm_cust_info
+where cst_key[3:]::bigint % 7 <> 0
+union all
+select 'reject', concat(case when c % 21 = 0 then '"' else '' end, cst_id, ',"', cst_key, '",a,',
+  case when c % 21 = 7 then '"b, c' else '"b, c"' end, ',S,F,',
+  case when c % 21 = 14 then '"' else '' end, '2025-01-02')
+from (select *, cst_key[3:]::bigint as c from bronze_crm_cust_info), range(2) where c % 7 = 0""",
     "s1_lenient_fields": """
 select case when c % 7 <> 0 then c::int end as cst_id, cst_key, 'a, b' as cst_firstname,
   'c' as cst_lastname, 'S' as cst_marital_status, 'F' as cst_gndr,

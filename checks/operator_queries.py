@@ -131,6 +131,32 @@ def line_breaks(b: Build) -> DataFrame:
     return loaded_customers(b, "line_breaks", broken).bronze("crm_cust_info")
 
 
+def open_quotes(b: Build) -> DataFrame:
+    """What is loaded of all customers, and what refused, when every seventh has a quote left open
+    in its first, a middle or its last field; those come twice, so all quotes have a partner."""
+    key = F.col("cst_key").substr(3, 20).cast("bigint")
+    fields = [
+        F.concat(F.when(key % 21 == 0, F.lit('"')).otherwise(F.lit("")),
+                 F.coalesce(F.col("cst_id").cast("string"), F.lit(""))),
+        F.concat(F.lit('"'), "cst_key", F.lit('"')), F.lit("a"),
+        F.when(key % 21 == 7, F.lit('"b, c')).otherwise(F.lit('"b, c"')), F.lit("S"), F.lit("F"),
+        F.when(key % 21 == 14, F.lit('"2025-01-02')).otherwise(F.lit("2025-01-02")),
+    ]
+    lines = b.bronze("crm_cust_info").select(F.concat_ws(",", *fields).alias("line"), F.explode(
+        F.when(key % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    ).alias("copy")).select("line")
+    folder = b.job.new_path("extracts")
+    lines.write.options(header=True, quote="\u0000", sep="\u0001").csv(f"{folder}/customers")
+    store = Warehouse(b.job, b.job.new_path("open_quotes"))
+    store.load_extracts(folder, [Extract("crm_cust_info", "customers")], None)
+    loaded_rows = store.bronze("crm_cust_info").select(
+        F.lit("row").alias("kind"), F.concat_ws("/", "cst_key", "cst_lastname").alias("text")
+    )
+    return loaded_rows.unionByName(
+        store.rejects().select(F.lit("reject").alias("kind"), F.col("line").alias("text"))
+    )
+
+
 def doubtful_customers(b: Build) -> DataFrame:
     """Customers as texts; every fifth has an id or a date that is none, others odd spellings."""
     key = F.col("cst_key").substr(3, 20).cast("bigint")
@@ -359,6 +385,7 @@ ANSWERS = {
     "t8_load_diagnostics": load_diagnostics,
     "t9_reload_products": reload_products,
     "s1_line_breaks": line_breaks,
+    "s1_open_quotes": open_quotes,
     "s1_lenient_fields": lenient_fields,
     "s10_rejected_lines": rejected_lines,
     "s11_refused_load_keeps_table": refused_load,

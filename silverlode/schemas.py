@@ -94,13 +94,11 @@ REJECTS = _schema("load_id string, table_name string, file string, line string")
 
 @dataclass(frozen=True)
 class Extract:
-    """One delimited extract: its table, its file under the extract folder, its quoting, and
-    whether quoted fields may hold line breaks (then one task reads a file)."""
+    """One delimited extract: its table, its file under the extract folder, and its quoting."""
 
     table: str
     file: str
     quoted: bool = True
-    lines_in_fields: bool = True
 
 
 # File names and the one extract that is delivered without quoting.

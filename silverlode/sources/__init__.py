@@ -2,8 +2,6 @@
 
 from silverlode.sources.delimited import (
     SOURCE_FILE,
-    UnclosedQuote,
-    check_quotes,
     read_extract,
     split_rejects,
 )
@@ -11,6 +9,6 @@ from silverlode.sources.files import Files
 from silverlode.sources.tables import LoadFailed, RunLog, rejected_lines, write_version
 
 __all__ = [
-    "SOURCE_FILE", "UnclosedQuote", "check_quotes", "read_extract", "split_rejects", "Files",
+    "SOURCE_FILE", "read_extract", "split_rejects", "Files",
     "LoadFailed", "RunLog", "rejected_lines", "write_version",
 ]

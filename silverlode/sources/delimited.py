@@ -8,68 +8,87 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.job import Job
+from silverlode.sources.records import LINE, SOURCE_FILE, WHOLE, has_broken_lines, records
+
 REJECT = "_rejected_line"
-SOURCE_FILE = "_source_file"
 
 # A date, alone or as a midnight timestamp.
 _DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]00:00(:00(\.0+)?)?)?$"
 
-
-class UnclosedQuote(ValueError):
-    """An extract has a quote that no other one closes."""
+_OPTIONS = {
+    # Stands for a field without any text; a quoted empty text then stays an empty text.
+    "nullValue": "\u0000", "dateFormat": "yyyy-MM-dd", "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": REJECT,
+}
+_QUOTED = {"quote": '"', "escape": '"'}
 
 
 def read_extract(
     spark: SparkSession, path: str, schema: T.StructType, quoted: bool = True,
-    mode: str = "PERMISSIVE", lines_in_fields: bool = True,
+    mode: str = "PERMISSIVE", job: Job | None = None,
 ) -> DataFrame:
     """Rows of an extract, with SOURCE_FILE and, in PERMISSIVE mode, REJECT: the line of each row
     that does not fit the schema (NULL on good rows). FAILFAST raises at the first such line.
 
     Quoted extracts follow RFC 4180: a quote inside a field is doubled, and a quoted field may
-    hold line breaks. Such a file is read by one task; for a huge one without such breaks, turn
-    `lines_in_fields` off, which splits it (and see `check_quotes`). In unquoted extracts a quote
-    is plain data. Both kinds of line end are read.
+    hold line breaks. They are scanned for their quotes first; if every line is a whole record,
+    the files are read as they are, and otherwise as `records`, whose lines are staged in `job`.
+    Either way a file is read by many tasks. A line with a quote that is not closed, or that neither opens nor ends a field,
+    does not fit. In unquoted extracts a quote is plain data. Both kinds of line end are read.
 
     Texts are kept as they are. Numbers and dates may have spaces around them, a number or date
     field without any text is NULL, quoted or not, and a timestamp at midnight is its date.
     """
-    texts = T.StructType([T.StructField(field.name, T.StringType()) for field in schema.fields])
-    columns = T.StructType([*texts.fields, T.StructField(REJECT, T.StringType())])
-    permissive = mode.upper() == "PERMISSIVE"
-    reader = (
-        spark.read.schema(columns if permissive else texts)
-        .option("header", True).option("mode", mode).option("enforceSchema", True)
-        # Stands for a field without any text; a quoted empty text then stays an empty text.
-        .option("nullValue", "\u0000")
-    )
-    if permissive:
-        reader = reader.option("columnNameOfCorruptRecord", REJECT)
-    if quoted:
-        reader = reader.option("quote", '"').option("escape", '"')
-        reader = reader.option("multiLine", lines_in_fields)
+    columns = T.StructType([*schema.fields, T.StructField(REJECT, T.StringType())])
+    options = _OPTIONS | (_QUOTED if quoted else {"quote": ""})
+    if not quoted or not has_broken_lines(spark, path):
+        read = spark.read.schema(columns).options(**options).options(
+            header=True, enforceSchema=True, columnPruning=False
+        ).csv(path).withColumns({
+            SOURCE_FILE: F.col("_metadata.file_path"), WHOLE: F.lit(True),
+            # Only fields that a query reads are parsed, so all stand here; they add NULL.
+            REJECT: F.coalesce(REJECT, *(
+                F.nullif(F.col(name), F.col(name)).cast("string") for name in schema.fieldNames()
+            )),
+        })
     else:
-        reader = reader.option("quote", "")
-    read = reader.csv(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-
-    typed = {field.name: _typed(F.col(field.name), field.dataType) for field in schema.fields}
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+        fields = F.from_csv(F.when(F.col(WHOLE), F.regexp_replace(LINE, r"\r\z", "")), kinds,
+                            options | {"multiLine": "true"})
+        read = records(job or Job(spark), path).withColumn("fields", fields).select(
+            *(F.col("fields")[name].alias(name) for name in schema.fieldNames()),
+            F.coalesce(F.col("fields")[REJECT], F.when(~F.col(WHOLE), F.col(LINE))).alias(REJECT),
+            SOURCE_FILE, WHOLE,
+        )
+    rows = _again(read, schema, options)
+    if mode.upper() == "PERMISSIVE":
+        return rows
+    raised = F.raise_error(F.concat(F.lit("Malformed line: "), F.col(REJECT))).cast("string")
+    # The check stays in the plan because its column decides which rows come out.
+    checked = rows.withColumn(REJECT, F.when(F.col(REJECT).isNotNull(), raised))
+    return checked.filter(F.col(REJECT).isNull()).drop(REJECT)
+
+
+def _again(read: DataFrame, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """Lines that the parser refused, taken as texts and cast with more patience."""
+    texts = ", ".join(f"`{field.name}` string" for field in schema.fields)
+    refused = F.col(REJECT)
+    again = F.from_csv(refused, f"{texts}, `_refused` string", options | {
+        "multiLine": "true", "columnNameOfCorruptRecord": "_refused",
+    })
+    typed = {field.name: _typed(F.col("_again")[field.name], field.dataType)
+             for field in schema.fields}
     bad = reduce(Column.__or__, (
-        typed[field.name].isNull() & (F.trim(field.name) != "")
+        typed[field.name].isNull() & (F.trim(F.col("_again")[field.name]) != "")
         for field in schema.fields if not isinstance(field.dataType, T.StringType)
-    ), F.lit(False))
-    line = _line([field.name for field in schema.fields], quoted)
-    if not permissive:
-        checked = read.withColumn(REJECT, F.when(
-            bad, F.raise_error(F.concat(F.lit("Malformed line: "), line)).cast("string")
-        ))
-        # The check stays in the plan because its column decides which rows come out.
-        return checked.filter(F.col(REJECT).isNull()).select(
-            *(column.alias(name) for name, column in typed.items()), SOURCE_FILE
-        )
-    refused = F.coalesce(F.col(REJECT), F.when(F.coalesce(bad, F.lit(False)), line))
-    return read.select(
-        *(column.alias(name) for name, column in typed.items()), SOURCE_FILE,
-        refused.alias(REJECT),
+    ), F.col("_again")["_refused"].isNotNull())
+    mended = read.withColumn("_again", F.when(refused.isNotNull() & F.col(WHOLE), again))
+    good = F.coalesce(F.col("_again").isNotNull() & ~F.coalesce(bad, F.lit(False)), F.lit(False))
+    return mended.withColumn("_good", good).select(
+        *(F.when(F.col("_good"), column).when(refused.isNull(), F.col(name)).alias(name)
+          for name, column in typed.items()),
+        SOURCE_FILE, F.when(~F.col("_good"), refused).alias(REJECT),
     )
 
 
@@ -83,36 +102,7 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return F.when(trimmed != "", trimmed.try_cast(kind))
 
 
-def _line(names: list[str], quoted: bool) -> Column:
-    """The fields of a line that has all of them, written as in the extract."""
-    if not quoted:
-        return F.concat_ws(",", *(F.coalesce(name, F.lit("")) for name in names))
-    return F.to_csv(F.struct(*names), {
-        "quote": '"', "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false",
-        "ignoreTrailingWhiteSpace": "false",
-    })
-
-
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows with the columns of their schema, and the rejected lines."""
     good = rows.filter(F.col(REJECT).isNull()).drop(REJECT, SOURCE_FILE)
     return good, rows.filter(F.col(REJECT).isNotNull())
-
-
-def check_quotes(spark: SparkSession, path: str, lines_in_fields: bool = True) -> None:
-    """Raise UnclosedQuote, naming a line, for a quoted extract with a quote left open.
-
-    A record without line breaks has an even number of quotes. With breaks in fields the lines
-    with an odd number come in pairs, so each file has an even number of them.
-    """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file")
-    )
-    odd = lines.filter(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1)
-    if lines_in_fields:
-        odd = odd.groupBy("file").agg(
-            F.count("*").alias("n"), F.max("value").alias("value")
-        ).filter("n % 2 = 1")
-    found = odd.first()
-    if found is not None:
-        raise UnclosedQuote(f"{found['file']}: unclosed quote, as in: {found['value']}")

@@ -19,7 +19,6 @@ from silverlode.sources import (
     Files,
     LoadFailed,
     RunLog,
-    check_quotes,
     read_extract,
     rejected_lines,
     write_version,
@@ -97,23 +96,19 @@ class Warehouse:
     ) -> DataFrame:
         """Load delimited extracts as they are into bronze tables; returns the log rows.
 
-        Every line that does not fit its schema is kept in `rejects()`. More than `max_rejects`
-        of them in one extract fail the load (None: any number is allowed), and so does a quote
-        that is never closed.
+        Every line that does not fit its schema is kept in `rejects()`, also one with a quote
+        that is never closed. More than `max_rejects` of them in one extract fail the load (None:
+        any number is allowed).
         """
         spark = self.job.spark
 
-        def rows(extract: schemas.Extract) -> DataFrame:
-            path = f"{folder}/{extract.file}"
-            if extract.quoted:
-                check_quotes(spark, path, extract.lines_in_fields)
-            return read_extract(
-                spark, path, schemas.BRONZE[extract.table], extract.quoted,
-                lines_in_fields=extract.lines_in_fields,
-            )
-
-        tables = {extract.table: lambda extract=extract: rows(extract) for extract in extracts}
-        return self._load("bronze", lambda _: [tables], max_rejects)
+        def steps(job: Job) -> list[dict[str, Rows]]:
+            return [{extract.table: lambda extract=extract: read_extract(
+                spark, f"{folder}/{extract.file}", schemas.BRONZE[extract.table], extract.quoted,
+                job=job,
+            ) for extract in extracts}]
+
+        return self._load("bronze", steps, max_rejects)
 
     def load_bronze(self, tables: dict[str, DataFrame]) -> DataFrame:
         """Load raw rows that are DataFrames already."""

@@ -1,9 +1,13 @@
+import csv
+import io
+import random
+
 import pytest
 
 from helpers import date, rows
 from silverlode import Warehouse
 from silverlode.schemas import BRONZE, EXTRACTS, Extract
-from silverlode.sources import LoadFailed, UnclosedQuote, read_extract, split_rejects
+from silverlode.sources import LoadFailed, read_extract, split_rejects
 
 CUSTOMERS = BRONZE["crm_cust_info"]
 HEADER = "cst_id,cst_key,cst_firstname,cst_lastname,cst_marital_status,cst_gndr,cst_create_date"
@@ -54,7 +58,7 @@ def test_unquoted_extract_keeps_quotes(spark, tmp_path):
 def test_line_breaks_inside_fields(spark, tmp_path):
     path = write(tmp_path, "a.csv", 'id,cat,subcat,maintenance\na,"two\nlines",c,d\n')
     schema = BRONZE["erp_px_cat_g1v2"]
-    assert good(spark, path, schema, lines_in_fields=True) == [("a", "two\nlines", "c", "d")]
+    assert good(spark, path, schema) == [("a", "two\nlines", "c", "d")]
 
 
 def test_bad_lines_are_set_aside(spark, tmp_path):
@@ -147,24 +151,86 @@ def test_an_extract_of_bad_lines_alone_gives_an_empty_table(job, tmp_path):
     assert store.bronze("crm_cust_info").count() == 0 and store.rejects().count() == 1
 
 
-@pytest.mark.parametrize("lines_in_fields", [True, False])
-@pytest.mark.parametrize("text", ['AW-1,"Uni\n', '"AW-1,x\nAW-2,y\n', 'AW-1,x\nAW-2,"y'])
-def test_an_unclosed_quote_fails_the_load(job, tmp_path, text, lines_in_fields):
+def loaded(job, tmp_path, text):
+    """Locations and rejected lines of a load that allows any number of rejects."""
     write(tmp_path, "a.csv", "cid,cntry\n" + text)
-    extract = Extract("erp_loc_a101", "a.csv", lines_in_fields=lines_in_fields)
-    with pytest.raises(UnclosedQuote, match="AW-"):
-        Warehouse(job).load_extracts(str(tmp_path), [extract], max_rejects=None)
+    extracts = [Extract("erp_loc_a101", "a.csv")]
+    with pytest.raises(LoadFailed):
+        Warehouse(job).load_extracts(str(tmp_path), extracts)
+    store = Warehouse(job, f"{job.folder}/other")
+    store.load_extracts(str(tmp_path), extracts, max_rejects=None)
+    return rows(store.bronze("erp_loc_a101")), sorted(r.line for r in store.rejects().collect())
+
+
+@pytest.mark.parametrize("text, kept, refused", [
+    ('AW-1,"Uni\n', [], ['AW-1,"Uni']),
+    ('"AW-1,x\nAW-2,y\n', [("AW-2", "y")], ['"AW-1,x']),
+    ('AW-1,x\nAW-2,"y', [("AW-1", "x")], ['AW-2,"y']),
+    # Two open quotes, which together look like one record, and whole lines after them.
+    ('AW-1,"x\nAW-2,y\nAW-3,"z\nAW-4,"w"\n', [("AW-2", "y"), ("AW-4", "w")],
+     ['AW-1,"x', 'AW-3,"z']),
+    ('"AW-1,x\nAW-2,y\n"AW-3,z\n', [("AW-2", "y")], ['"AW-1,x', '"AW-3,z']),
+    # An open quote before a record of two lines, which is still found.
+    ('AW-1,"x\nAW-2,y\nAW-3,"Uni\nted"\n', [("AW-2", "y"), ("AW-3", "Uni\nted")],
+     ['AW-1,"x']),
+    # Quotes that neither open nor end a field.
+    ('AW-1,5" wide\nAW-2,"a"b\nAW-3,"Uni\nted"\n', [("AW-3", "Uni\nted")],
+     ['AW-1,5" wide', 'AW-2,"a"b']),
+    ('AW-1,x"\nAW-2,y\n', [("AW-2", "y")], ['AW-1,x"']),
+])
+def test_an_unclosed_quote_spoils_its_own_line(job, tmp_path, text, kept, refused):
+    assert loaded(job, tmp_path, text) == (kept, refused)
+
+
+def test_two_open_quotes_in_three_columns(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'cid,bdate,gen\n1,"abc,x\n2,b,y\n3,"def,z\n')
+    schema = BRONZE["erp_px_cat_g1v2"]
+    schema = type(schema)(schema.fields[:3])
+    kept, rejected = split_rejects(read_extract(spark, path, schema))
+    assert rows(kept) == [("2", "b", "y")]
+    assert sorted(r["_rejected_line"] for r in rejected.collect()) == ['1,"abc,x', '3,"def,z']
+
+
+def records_of(seed, size):
+    """Random fields, many of them with quotes, commas and line breaks."""
+    chance = random.Random(seed)
+    parts = ["a", "b c", '"', '""', ",", "\n", "\r\n", "", "é", '\n"', '",', "x\n\ny"]
+    return [
+        tuple(["".join(chance.choices(parts, k=chance.randrange(6))) or "-" for _ in range(4)])
+        for _ in range(size)
+    ]
 
 
-def test_a_split_extract_with_line_breaks_fails(job, tmp_path):
-    write(tmp_path, "a.csv", 'cid,cntry\nAW-1,"Uni\nted States"\n')
-    store = Warehouse(job)
-    with pytest.raises(UnclosedQuote, match="ted|Uni"):
-        store.load_extracts(
-            str(tmp_path), [Extract("erp_loc_a101", "a.csv", lines_in_fields=False)]
-        )
-    store.load_extracts(str(tmp_path), [Extract("erp_loc_a101", "a.csv")])
-    assert rows(store.bronze("erp_loc_a101")) == [("AW-1", "Uni\nted States")]
+@pytest.mark.parametrize("seed, end", [(1, "\n"), (2, "\r\n"), (3, "\n")])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, seed, end):
+    """Records with line breaks, cut at any byte, are those that Python's reader gives."""
+    written = records_of(seed, 3000)
+    text = "".join(
+        ",".join('"' + field.replace('"', '""') + '"' for field in record) + end
+        for record in [("id", "cat", "subcat", "maintenance"), *written]
+    )
+    assert list(csv.reader(io.StringIO(text, newline="")))[1:] == [list(r) for r in written]
+    path = write(tmp_path, "a.csv", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1500)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        lines = spark.read.text(path)
+        assert lines.rdd.getNumPartitions() > 20
+        found = read_extract(spark, path, BRONZE["erp_px_cat_g1v2"])
+        assert "FileScan csv" not in found._jdf.queryExecution().executedPlan().toString()
+        kept, rejected = split_rejects(found)
+        assert rejected.count() == 0
+        assert rows(kept) == sorted(written, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_many_files_with_headers_of_their_own(spark, tmp_path):
+    for name in "abc":
+        write(tmp_path, f"in/{name}.csv", f'id,cat,subcat,maintenance\n{name},"1\n2",c,d\n{name},x,y,z\n')
+    assert good(spark, str(tmp_path / "in"), BRONZE["erp_px_cat_g1v2"]) == sorted(
+        [(name, "1\n2", "c", "d") for name in "abc"] + [(name, "x", "y", "z") for name in "abc"])
 
 
 def test_lenient_numbers_and_dates(spark, tmp_path):
