@@ -22,6 +22,13 @@ union all select '{layer}', '(all)', sum(n)::bigint, null, 'ok' from t"""
 
 _JOIN_ORDERS = "(select o_orderkey, o_custkey from orders where o_orderstatus = 'O') o on l_orderkey = o_orderkey"
 
+_MISSPELT = """case n % 3 when 0 then lower(cid) when 1 then cid || '  ' else cid end"""
+_COLLATED_KEYS = f"""
+select cst_id, cst_key, details.cid, bdate from silver_crm_cust_info
+left join (select {_MISSPELT} as cid, bdate from (
+  select *, regexp_extract(cid, '[0-9]+')::bigint as n from silver_erp_cust_az12)) details
+on lower(rtrim(cst_key, ' ')) = lower(rtrim(details.cid, ' '))"""
+
 OPERATOR_ORACLE: dict[str, str] = {
     "s1_quoted_extract": "select * from bronze_crm_cust_info",
     "s1_quoted_locations": "select * from bronze_erp_loc_a101",
@@ -74,6 +81,14 @@ from (select *, cst_key[3:]::bigint as c from bronze_crm_cust_info where cst_fir
 where c % 5 = 0""",
     "s11_refused_load_keeps_table": "select * from bronze_crm_cust_info",
     "s12_views_after_reload": "select * from bronze_erp_loc_a101",
+    "j1_collated_keys": _COLLATED_KEYS,
+    "j1_collated_keys_hot": _COLLATED_KEYS,
+    "f5_collated_patterns": f"""
+select cid, rtrim(cid, ' ') ilike 'NAS%' as prefixed, rtrim(cid, ' ') ilike '%_w0%7' as ends,
+  cid like 'NAS%' as exactly, rtrim(lower(cid[:5]), ' ') = 'nasaw' as equal,
+  case when lower(cid[:3]) = 'nas' then substr(cid, 4, length(rtrim(cid, ' '))) else cid end as stripped
+from (select {_MISSPELT} as cid from (
+  select cid, regexp_extract(cid, '[0-9]+')::bigint as n from bronze_erp_cust_az12))""",
     "f_predicates": """
 select sls_ord_num, sls_prd_key, sls_quantity,
   sls_cust_id = -1 as equal, sls_sales is null as missing, sls_sales > sls_price as greater,
@@ -174,6 +189,7 @@ select l_orderkey, l_partkey, l_quantity from lineitem semi join {_JOIN_ORDERS}"
     "t2_clean_products_hot": ORACLE["t2_clean_products"],
     "t3_clean_sales_hot": ORACLE["t3_clean_sales"],
     "t5_clean_locations_hot": ORACLE["t5_clean_locations"],
+    "g1_collated_dim_customer": ORACLE["g1_dim_customer"],
     "g1_dim_customer_hot": ORACLE["g1_dim_customer"],
     "g3_fact_sales_hot": ORACLE["g3_fact_sales"],
     "k2_demographics_hot": ORACLE["k2_demographics"],

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks.queries import AS_OF, Build
@@ -275,6 +275,55 @@ def number_functions(b: Build) -> DataFrame:
     )
 
 
+def misspelt(text: Column, number: Column) -> Column:
+    """The text in lower case, with spaces at its end, or as it is."""
+    return F.when(number % 3 == 0, F.lower(text)).when(number % 3 == 1, F.concat(text, F.lit("  "))) \
+        .otherwise(text)
+
+
+LIKE_THE_SERVER = "UTF8_LCASE_RTRIM"
+
+
+def collated_keys(b: Build, limits: Limits | None = None) -> DataFrame:
+    """All customers with the birthdates of the ERP, whose numbers are spelt in other ways."""
+    job = Job(b.job.spark, AS_OF, limits or Limits(), b.job.folder, LIKE_THE_SERVER)
+    details = b.silver("erp_cust_az12")
+    number = F.regexp_extract("cid", "[0-9]+", 0).cast("bigint")
+    details = details.select(misspelt(F.col("cid"), number).alias("cid"), "bdate")
+    customers = b.silver("crm_cust_info").select("cst_id", "cst_key")
+    details = job.stage(details, "misspelt")
+    return balanced_join(job, customers, details, "cst_key", "cid")
+
+
+def collated_load(b: Build) -> DataFrame:
+    """The customer dimension of a warehouse that compares text as the collation says, from ERP
+    extracts in other spellings."""
+    job = Job(b.job.spark, AS_OF, Limits(), b.job.folder, LIKE_THE_SERVER)
+    store = Warehouse(job, b.job.new_path("collated"))
+    tables = {table: b.bronze(table) for table in BRONZE}
+    for table in ("erp_cust_az12", "erp_loc_a101"):
+        number = F.regexp_extract("cid", "[0-9]+", 0).cast("bigint")
+        tables[table] = tables[table].withColumn("cid", misspelt(F.col("cid"), number))
+    store.load_bronze(tables)
+    store.load_silver()
+    store.load_gold()
+    return store.gold("dim_customer")
+
+
+def collated_patterns(b: Build) -> DataFrame:
+    """Every ERP customer with what patterns and an equation say of its id in other spellings."""
+    number = F.regexp_extract("cid", "[0-9]+", 0).cast("bigint")
+    cid = F.col("cid")
+    rows = b.bronze("erp_cust_az12").withColumn("cid", misspelt(F.col("cid"), number))
+    return rows.select(
+        "cid", X.text_like(cid, "NAS%", LIKE_THE_SERVER).alias("prefixed"),
+        X.text_like(cid, "%_w0%7", LIKE_THE_SERVER).alias("ends"),
+        X.text_like(cid, "NAS%").alias("exactly"),
+        X.text_equals(F.substring(cid, 1, 5), "nasaw", LIKE_THE_SERVER).alias("equal"),
+        X.strip_prefix(cid, "NAS", LIKE_THE_SERVER).alias("stripped"),
+    )
+
+
 def int_dates(b: Build) -> DataFrame:
     dates = {
         f"{name}_date": X.int_date(F.col(name), fixed.LATEST_SALES_DATE)
@@ -390,6 +439,10 @@ ANSWERS = {
     "s10_rejected_lines": rejected_lines,
     "s11_refused_load_keeps_table": refused_load,
     "s12_views_after_reload": views_after_reload,
+    "j1_collated_keys": collated_keys,
+    "j1_collated_keys_hot": lambda b: collated_keys(b, TINY),
+    "g1_collated_dim_customer": collated_load,
+    "f5_collated_patterns": collated_patterns,
     "f_predicates": predicates,
     "x_text": text_functions,
     "x_keys": key_functions,

@@ -9,6 +9,8 @@ from silverlode.functions.text import (
     product_of_key,
     remove_hyphens,
     strip_prefix,
+    text_equals,
+    text_like,
     text_length,
 )
 
@@ -17,5 +19,6 @@ __all__ = [
     "int_date", "month_diff", "month_start", "null_after", "year_diff",
     "int_avg", "int_div", "percent_label", "sum_or_zero",
     "category_of_key", "concat_blank", "product_of_key", "remove_hyphens", "strip_prefix",
+    "text_equals", "text_like",
     "text_length",
 ]

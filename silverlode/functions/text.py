@@ -26,8 +26,26 @@ def _tail(text: Column, start: int) -> Column:
     return F.substr(text, F.lit(start), text_length(text))
 
 
-def strip_prefix(text: Column, prefix: str) -> Column:
-    return F.when(text.startswith(prefix), _tail(text, len(prefix) + 1)).otherwise(text)
+def text_equals(text: Column, value: str, collation: str | None = None) -> Column:
+    """Whether a text is `value`, exactly or as a collation says."""
+    return (F.collate(text, collation) if collation else text) == value
+
+
+def text_like(text: Column, pattern: str, collation: str | None = None) -> Column:
+    """LIKE, exactly or as a collation says; one that ends in _RTRIM passes over the trailing
+    spaces of the text (Spark's own LIKE takes no such collation)."""
+    if collation is None:
+        return text.like(pattern)
+    trimmed = F.rtrim(text) if collation.endswith("_RTRIM") else text
+    return F.collate(trimmed, collation.removesuffix("_RTRIM")).like(pattern)
+
+
+def strip_prefix(text: Column, prefix: str, collation: str | None = None) -> Column:
+    if collation is None:
+        found = text.startswith(prefix)
+    else:
+        found = F.collate(F.substring(text, 1, len(prefix)), collation) == prefix
+    return F.when(found, _tail(text, len(prefix) + 1)).otherwise(text)
 
 
 def category_of_key(key: Column) -> Column:

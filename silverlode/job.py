@@ -34,6 +34,8 @@ class Job:
     as_of: dt.date | None = None
     limits: Limits = field(default_factory=Limits)
     folder: str | None = None
+    # How joins and patterns compare text: exactly, or by a collation such as UTF8_LCASE_RTRIM.
+    collation: str | None = None
     # Hot keys that were looked up, by what was asked (see `operators.joins.hot_keys`).
     found_hot: dict = field(default_factory=dict, repr=False, compare=False)
 

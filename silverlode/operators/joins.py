@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverlode.job import Job
 
@@ -89,9 +90,32 @@ def balanced_join(
     - otherwise a shuffle join; if a key is hot on either side, its rows are dealt over a grid
       of cells (left rows over the cell rows, right rows over the cell columns) and each cell is
       joined alone. Every matching pair still meets exactly once.
+
+    Text keys meet as `job.collation` says. Hashes, hot keys and cells follow it as well, since
+    they are taken from the collated keys; each row keeps its own spelling.
     """
     if how not in ("left", "inner", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
+    if job.collation is None or not isinstance(left.schema[left_key].dataType, T.StringType):
+        return _joined(job, left, right, left_key, right_key, how, left_source)
+    joined = _joined(
+        job, *(_collated(df, key, job.collation) for df, key in (
+            (left, left_key), (right, right_key))), left_key, right_key, how,
+        None if left_source is None else _collated(left_source, left_key, job.collation),
+    )
+    # The result's keys compare exactly again, as every other column.
+    return joined.withColumns({key: F.collate(key, "UTF8_BINARY") for key in (left_key, right_key)
+                               if key in joined.columns})
+
+
+def _collated(df: DataFrame, key: str, collation: str) -> DataFrame:
+    return df.withColumn(key, F.collate(key, collation))
+
+
+def _joined(
+    job: Job, left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str,
+    left_source: DataFrame | None,
+) -> DataFrame:
     if how == "left_semi":
         keys = right.select(right_key)
         right = keys.distinct()

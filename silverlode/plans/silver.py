@@ -75,7 +75,7 @@ def clean_sales(job: Job, raw: DataFrame) -> DataFrame:
 def clean_erp_customers(job: Job, raw: DataFrame) -> DataFrame:
     """ERP customer details under the CRM's customer number, without future birthdates."""
     return raw.select(
-        strip_prefix(F.col("cid"), fixed.ERP_ID_PREFIX).alias("cid"),
+        strip_prefix(F.col("cid"), fixed.ERP_ID_PREFIX, job.collation).alias("cid"),
         null_after(F.col("bdate"), job.today()).alias("bdate"),
         map_codes(F.col("gen"), fixed.ERP_GENDER).alias("gen"),
     )
