@@ -126,10 +126,11 @@ _letter: list[np.ndarray] = []
 
 
 def grams(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every 4-gram; a text is padded with a space on both sides."""
+    """Bucket and row of every 4-gram; a text is padded with a space before it and two behind, so
+    that a single letter has one as well."""
     if not _letter:
         _letter.append(_letters())
-    points, offsets = tx.code_points([f" {text.lower()} " if text else None for text in texts])
+    points, offsets = tx.code_points([f" {text.lower()}  " if text else None for text in texts])
     points = np.where(_letter[0][points], points, np.uint32(32)).astype(np.uint64)
     hashed = np.zeros(max(len(points) - GRAM + 1, 0), np.uint64)
     for place in range(GRAM):

@@ -26,7 +26,8 @@ def test_held_out_texts_get_their_language(spark, documents):
         part = documents([(k, text(draw, lang, 30)) for k, of in enumerate(langs) if of == lang],
                          lang=lang)
         docs = part if docs is None else docs.union(part)
-    extra = documents([(900, None), (901, " 12 - !"), (902, "the and the ing")], lang=None)
+    extra = documents([(900, None), (901, " 12 - !"), (902, "the and the ing"), (903, "t"),
+                       (904, "5 é"), (905, "日")], lang=None)
     found = li.language_mixtures(spark, docs.union(extra)).collect()
     for r in found:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
@@ -35,6 +36,8 @@ def test_held_out_texts_get_their_language(spark, documents):
     of = {r.doc_id: r for r in found}
     assert of[900].lang_pred == of[901].lang_pred == "und" and of[901].score == 0
     assert of[902].lang_pred == "aa"
+    # A single letter is enough for a prediction.
+    assert all(of[k].lang_pred in SOUNDS and of[k].score > 0 for k in (903, 904, 905))
 
 
 def test_mixtures_come_out_with_their_shares(spark, documents):
