@@ -10,15 +10,16 @@ Tokens are words (digits, letters, code points beyond ASCII) of the lower-cased
        delta = log((t + a_t) / (c + a_c)) - log(T / C),  variance 1 / (t + a_t) + 1 / (c + a_c)
 
    A key enters the lexicon when delta exceeds `MIN_Z` standard deviations and `MIN_ODDS`, so that
-   the words of a language or topic that is a little more toxic than others stay out; the
-   `LEXICON` surest keys are kept, which bounds the model. A token scores by the most specific key it has there,
-   and every token pays `DRIFT`, so that texts score below zero on average.
+   the words of a language or topic that is a little more toxic than others stay out. Every key
+   that passes is sent, 16 bytes each: at most those of two toxic texts of the sample. A token
+   scores by the most specific key it has there, and every token pays `DRIFT`, so that texts
+   score below zero on average.
 3. Segments: one linear scan finds all maximal scoring segments of a text (each is the best
    among all that overlap it).
 4. Calibration: for clean texts the best of n tokens follows an extreme-value law,
-   P(S > s) = 1 - exp(-K n exp(-lambda s)). The lexicon is learned from three quarters of the
-   training texts (by a hash of the text, so copies stay together) and the law from the clean
-   ones of the last quarter, which it has not seen: lambda from the mean excess of best scores
+   P(S > s) = 1 - exp(-K n exp(-lambda s)). The lexicon is learned from all toxic training texts
+   and three quarters of the clean ones (by a hash of the text, so copies stay together), and the
+   law from the clean ones of the last quarter, which it has not seen: lambda from the mean excess of best scores
    over their median, K from how many exceed it. The evidence of a text is -log of the chance
    that a clean text of its length has its r best segments, for the r where that is least likely
    (the sum law of Karlin and Altschul), and the score is the logistic of the evidence plus
@@ -49,7 +50,6 @@ PREFIXES = (5, 4)
 PRIOR = 0.5
 MIN_Z = 3.5
 MIN_ODDS = 2.0
-LEXICON = 200_000
 DRIFT = 0.25
 RATE = 0.001
 # Distinct keys a task collects before it sends their counts on.
@@ -114,14 +114,15 @@ def score(
 def learn(job: Job, known: DataFrame) -> Lexicon:
     """The lexicon of labelled texts (label, _text)."""
     counted = T.StructType([T.StructField(name, T.LongType()) for name in ("key", "t", "c")])
-    totals = {row.label: row.n for row in known.groupBy("label").agg(F.count("*").alias("n"))
+    last_quarter = F.pmod(F.xxhash64("_text"), F.lit(4)) == 0
+    taught = known.filter((F.col("label") == 1) | ~last_quarter)
+    totals = {row.label: row.n for row in taught.groupBy("label").agg(F.count("*").alias("n"))
               .collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0)
-    last_quarter = F.pmod(F.xxhash64("_text"), F.lit(4)) == 0
     counts = (
-        in_arrow(known.filter(~last_quarter), _count, counted)
+        in_arrow(taught, _count, counted)
         .groupBy("key").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     )
     share = toxic / (toxic + clean)
@@ -129,8 +130,7 @@ def learn(job: Job, known: DataFrame) -> Lexicon:
     surest = (
         counts.filter("t > 1").withColumn("odds", F.log(t / c) - math.log(toxic / clean))
         .withColumn("z", F.col("odds") / F.sqrt(1 / t + 1 / c))
-        .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
-        .orderBy(F.desc("z"), "key").limit(LEXICON)
+        .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).select("key", "odds")
     )
     rows = sorted((row.key & 0xFFFFFFFFFFFFFFFF, row.odds) for row in surest.collect())
     lexicon = Lexicon(np.array([key for key, _ in rows], np.uint64),
