@@ -1,16 +1,18 @@
-"""Licence notices by alignment of wordings, and mentions of licences by conditional compression.
+"""Licence scan by conditional compression, with blocks proposed by their wording.
 
-Notices: every template (notices, headers and whole short licences) is aligned with the words of a
+Blocks: every template (notices, headers and whole short licences) is aligned with the words of a
 text near its trigger phrases, whatever the lines, blank lines and comment signs between them. A
-span of words is a notice if at least `AGREEING` of the words of both are common, in order: `exact`
-if none differs, else `changed`. Of overlapping spans the one with most common less differing words
-stays. Other words of its line and sentence count as added if the span still agrees with them.
-Notices with a comma alone between them are one row, named by the best; `notices` lists each.
-
-Mentions: what else has a trigger phrase, as runs of such sentences (a line ends a sentence). Each
-run is compressed alone and with each template as raw dictionary (zstandard); what a template
-saves, as a share of the size alone, ranks it. Of the `FINALISTS` best, the one whose words differ
-least from the run's names it (ties: the better rank).
+span of words is a block if at least `AGREEING` of the words of both are common, in order; of
+overlapping spans the one with most common less differing words stays, and other words of its line
+and sentence join it if it still agrees with them. What else has a trigger phrase makes further
+blocks, as runs of such sentences (a line ends a sentence).
+
+Winners: each block is compressed alone and with each template as raw dictionary (zstandard); what
+a template saves, as a share of the size alone, ranks it (ties: the earlier template). Of the
+`FINALISTS` best, the one whose words differ least from the block's names it (ties: the better
+rank). A block from an alignment is `exact` if no word differs from the winner's, `changed` if at
+least `AGREEING` of both are common, else a `mention`, as any other block. Blocks with a comma
+alone between them are one row, named by the best; `notices` lists each.
 
 Texts without a trigger phrase end in the scan; no text is shortened, and equal blocks are judged
 once per task. Null and empty texts have no block. Repeated rows are reported one by one.
@@ -22,7 +24,6 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from difflib import SequenceMatcher
 from functools import reduce
 from typing import NamedTuple
 
@@ -36,7 +37,7 @@ from silverlode.llm.license_templates import TEMPLATES, TEXTS, TRIGGERS
 from silverlode.llm.shipping import in_arrow
 
 LEVEL = 19
-FINALISTS = 3
+FINALISTS = 5
 AGREEING = 0.8
 # Distinct blocks whose result a task keeps.
 REMEMBERED = 50_000
@@ -172,8 +173,11 @@ class Notice(NamedTuple):
     added: list[str]
     common: int
 
+    def differing(self) -> int:
+        return len(self.missing) + len(self.added)
+
     def worth(self) -> int:
-        return self.common - len(self.missing) - len(self.added)
+        return self.common - self.differing()
 
 
 class Aligner:
@@ -324,10 +328,9 @@ class Judge:
              .ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
             for name, text in (*templates, *texts)
         ]
-        self.mentioned = len(templates)
         self.aligner = Aligner([wording for _, wording, _ in self.templates])
-        self.known: dict[str, tuple] = {}
-        self.saved: dict[tuple[int, str], float] = {}
+        self.known: dict[str, tuple] = {}  # of blocks without a notice
+        self.ranks: dict[str, list[tuple[float, int]]] = {}
 
     def rows(self, text: str) -> list[tuple]:
         """The rows of a text without its doc_id, in order."""
@@ -341,6 +344,10 @@ class Judge:
                           notices[k + 1].first if k + 1 < len(notices) else len(words))
             for k, one in enumerate(notices)
         ]
+        notices = [
+            self._confirmed(text[spans[one.first][0] : spans[one.end - 1][1]],
+                            words[one.first : one.end], one.first) for one in notices
+        ]
         joined: list[list[Notice]] = []
         for one in notices:
             behind = joined and text[spans[joined[-1][-1].end - 1][1] : spans[one.first][0]]
@@ -386,54 +393,49 @@ class Judge:
             end += 1
         return self.aligner.agreeing(one.place, words[first:end], first) or one
 
-    def _saves(self, place: int, block: str) -> float:
-        if (place, block) not in self.saved:
-            if len(self.saved) >= REMEMBERED:
-                self.saved.clear()
+    def _confirmed(self, block: str, words: list[str], first: int) -> Notice:
+        """The finalist whose words differ least from those of the block."""
+        best = None
+        for _, place in self._ranked(block)[:FINALISTS]:
+            one = Notice(place, first, first + len(words),
+                         *_common(self.templates[place][1], words))
+            if best is None or one.differing() < best.differing():
+                best = one
+        return best
+
+    def _ranked(self, block: str) -> list[tuple[float, int]]:
+        """(what it saves as a negative share, template) of all templates, the best first."""
+        if block not in self.ranks:
+            if len(self.ranks) >= REMEMBERED:
+                self.ranks.clear()
             data = block.encode()
             alone = len(self.plain.compress(data))
-            saved = alone - len(self.templates[place][2].compress(data))
-            self.saved[place, block] = saved / alone
-        return self.saved[place, block]
+            self.ranks[block] = sorted(
+                ((len(compressor.compress(data)) - alone) / alone, place)
+                for place, (_, _, compressor) in enumerate(self.templates)
+            )
+        return self.ranks[block]
+
+    def _saves(self, place: int, block: str) -> float:
+        return next(-saved for saved, other in self._ranked(block) if other == place)
 
     def __call__(self, block: str) -> tuple:
-        """license, reduction, missing, added, verdict"""
+        """license, reduction, missing, added, verdict of a block without a notice"""
         if block not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            self.known[block] = self._judge(block)
+            one = self._confirmed(block, _words(block), 0)
+            self.known[block] = (self.templates[one.place][0], self._saves(one.place, block),
+                                 one.missing, one.added, "mention")
         return self.known[block]
 
-    def _judge(self, block: str) -> tuple:
-        data = block.encode()
-        alone = len(self.plain.compress(data))
-        ranked = sorted(
-            (-(alone - len(compressor.compress(data))) / alone, place)
-            for place, (_, _, compressor) in enumerate(self.templates[: self.mentioned])
-        )
-        words, best = _words(block), None
-        for reduction, place in ranked[:FINALISTS]:
-            name, wording, _ = self.templates[place]
-            missing, added, _ = _differences(wording, words)
-            if best is None or len(missing) + len(added) < len(best[2]) + len(best[3]):
-                best = (name, -reduction, missing, added, "mention")
-        return best
-
 
 def _verdict(one: Notice) -> str:
-    return "changed" if one.missing or one.added else "exact"
+    if not one.differing():
+        return "exact"
+    whole = 2 * one.common + one.differing()  # words of the template and of the block
+    return "changed" if 2 * one.common >= AGREEING * whole else "mention"
 
 
 def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
-
-
-def _differences(template: list[str], block: list[str]) -> tuple[list[str], list[str], int]:
-    missing, added, common = [], [], 0
-    for kind, a, b, c, d in SequenceMatcher(None, template, block, autojunk=False).get_opcodes():
-        if kind == "equal":
-            common += b - a
-        else:
-            missing += template[a:b]
-            added += block[c:d]
-    return missing, added, common
