@@ -31,10 +31,18 @@ SALTS = 16
 
 def drop_boilerplate(
     spark: SparkSession, pages: DataFrame, host: str = "source", text: str = "text",
-    ratio: float = RATIO, min_pages: int = MIN_PAGES,
+    ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False,
 ) -> DataFrame:
-    """Every row with its text without boilerplate, n_lines before and n_dropped."""
-    plates = Job(spark).stage(_boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
+    """Every row with its text without boilerplate, n_lines before and n_dropped.
+
+    With `copies_once`, pages of a host with the same text count as one page, so that the lines
+    of a page with many copies are no boilerplate for that; they are still looked for in all.
+    """
+    job = Job(spark)
+    page = pages.select(F.col(f"`{host}`").alias("_host"), F.col(f"`{text}`").alias("_text"))
+    if copies_once:
+        page = _once(job, page)
+    plates = job.stage(_boilerplate(page, ratio, min_pages), "boilerplate")
     lines = plates.agg(F.sum(F.size("plates"))).first()[0] or 0
     rows = pages.select(tx.whole_row(pages))
     if lines <= BROADCAST_LINES:
@@ -62,11 +70,29 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(1), line).alias("h1"), F.xxhash64(F.lit(2), line).alias("h2"))
 
 
-def _boilerplate(
-    pages: DataFrame, host: str, text: str, ratio: float, min_pages: int
-) -> DataFrame:
+def _once(job: Job, page: DataFrame) -> DataFrame:
+    """One page of each text of a host. Only the texts of pages with copies move, one of a text
+    from each task; the hashes of such texts travel to every task if they are few."""
+    key = _key(F.col("_text"))
+    keyed = page.select("_host", "_text", key["h1"].alias("h1"), key["h2"].alias("h2"))
+    copied = job.stage(
+        keyed.groupBy("_host", "h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select(
+            F.col("_host").alias("_of"), F.col("h1").alias("k1"), F.col("h2").alias("k2")
+        ), "copied",
+    )
+    if copied.count() <= BROADCAST_LINES:
+        copied = F.broadcast(copied)
+    same = (F.col("_host").eqNullSafe(F.col("_of")) & (F.col("h1") == F.col("k1"))
+            & (F.col("h2") == F.col("k2")))
+    first = keyed.join(copied, same, "left_semi").groupBy("_host", "h1", "h2").agg(
+        F.first("_text").alias("_text")
+    )
+    own = keyed.join(copied, same, "left_anti")
+    return own.select("_host", "_text").unionByName(first.select("_host", "_text"))
+
+
+def _boilerplate(page: DataFrame, ratio: float, min_pages: int) -> DataFrame:
     """(_host, plates): the keys of the lines to drop on each host that has any."""
-    page = pages.select(F.col(f"`{host}`").alias("_host"), F.col(f"`{text}`").alias("_text"))
     totals = page.groupBy("_host").agg(F.count("*").alias("pages"))
     line = page.select(
         "_host", F.explode(F.array_distinct(F.split("_text", "\n", -1))).alias("line")

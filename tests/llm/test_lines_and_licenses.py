@@ -7,9 +7,10 @@ from silverlode.llm import line_dedup as ld
 from silverlode.llm.license_templates import TEMPLATES, TEXTS
 
 
-def brute(rows, ratio, least):
+def brute(rows, ratio, least, copies_once=False):
     pages, times = defaultdict(int), defaultdict(int)
-    for _, host, text in rows:
+    counted = [(None, *page) for page in {row[1:] for row in rows}] if copies_once else rows
+    for _, host, text in counted:
         pages[host] += 1
         for line in set((text or "").split("\n")):
             if line.strip(" \t\n\v\f\r"):
@@ -42,9 +43,21 @@ def test_lines_like_brute_force(spark, monkeypatch):
     pages = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
     for broadcast in (ld.BROADCAST_LINES, 0):
         monkeypatch.setattr(ld, "BROADCAST_LINES", broadcast)
-        found = ld.drop_boilerplate(spark, pages, ratio=0.2, min_pages=4)
-        got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
-        assert sorted(got, key=repr) == brute(rows, 0.2, 4)
+        for once in (False, True):
+            found = ld.drop_boilerplate(spark, pages, ratio=0.2, min_pages=4, copies_once=once)
+            got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
+            assert sorted(got, key=repr) == brute(rows, 0.2, 4, once)
+
+
+def test_copies_of_a_page_may_count_once(spark):
+    """Six copies on a host of 26 pages lose nothing but the host's own menu."""
+    page = "A page of its own.\nIt says more.\nmenu"
+    rows = [(k, "a", page) for k in range(6)] + [(k, "a", f"text {k}\nmenu") for k in range(6, 26)]
+    pages = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    every = {r.doc_id: r.text for r in ld.drop_boilerplate(spark, pages).collect()}
+    once = {r.doc_id: r.text for r in ld.drop_boilerplate(spark, pages, copies_once=True).collect()}
+    assert every[0] == "" and once[0] == "A page of its own.\nIt says more."
+    assert every[7] == once[7] == "text 7"
 
 
 def test_main_path_has_no_python(spark):
@@ -175,3 +188,46 @@ def test_aligned_spans_like_plain_search():
             for end in range(first + 1, min(first + 15, len(words) + 1)):
                 if aligner.agreeing(0, words[first:end], first):
                     assert met & set(range(first, end))
+
+
+def test_named_by_the_ranking_of_all_templates(documents):
+    """Every row's licence, share and differences are those of a plain ranking of its block."""
+    import zstandard
+
+    everything = [*TEMPLATES, *TEXTS]
+    plain = zstandard.ZstdCompressor(level=ls.LEVEL)
+    texts = ["Prose first. " + text.replace(" the ", " a ", k % 3) + " More prose, no license."
+             for k, (_, text) in enumerate(everything)]
+    rows = scan(documents, texts)
+    assert len(rows) >= len(texts)
+    for row in rows:
+        blocks = [(n.license, n.missing, n.added, text_of(texts, row, n)) for n in row.notices] or [
+            (row.license, row.missing, row.added, row.block)]
+        for license, missing, added, block in blocks:
+            data = block.encode()
+            ranked = sorted((len(zstandard.ZstdCompressor(
+                level=ls.LEVEL, dict_data=zstandard.ZstdCompressionDict(
+                    text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            ).compress(data)) - len(plain.compress(data)), place)
+                for place, (_, text) in enumerate(everything))
+            finalists = [(sum(map(len, ls._common(ls._words(everything[place][1]),
+                                                  ls._words(block))[:2])), k, place)
+                         for k, (_, place) in enumerate(ranked[: ls.FINALISTS])]
+            differing, _, place = min(finalists)
+            assert license == everything[place][0] and len(missing) + len(added) == differing
+
+
+def text_of(texts, row, notice):
+    return texts[row.doc_id][notice.first : notice.end]
+
+
+def test_the_ranking_decides_not_the_alignment(documents):
+    """The aligner proposes either of two templates for a block; what compresses best names it."""
+    one = "This file is licensed under terms of one kind as they stand in the first book of laws."
+    two = one.replace("one kind", "other sort").replace("first", "second")
+    block = one.replace("one kind", "other sort")
+    rows = [ls.license_scan(documents([block]), templates=[("first", a), ("last", b)], texts=[])
+            .collect()[0] for a, b in ((one, two), (two, one))]
+    assert [r.license for r in rows] == ["last", "first"]
+    assert all(r.verdict == "changed" and (r.missing, r.added) == (["second"], ["first"])
+               for r in rows)
