@@ -47,8 +47,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are boilerplate on their source go."""
-    return _apply(docs, lambda rows: drop_boilerplate(spark, rows))
+    """Lines that are boilerplate on their source go; copies of a page count as one page."""
+    return _apply(docs, lambda rows: drop_boilerplate(spark, rows, copies_once=True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
