@@ -29,7 +29,26 @@ left join (select {_MISSPELT} as cid, bdate from (
   select *, regexp_extract(cid, '[0-9]+')::bigint as n from silver_erp_cust_az12)) details
 on lower(rtrim(cst_key, ' ')) = lower(rtrim(details.cid, ' '))"""
 
+_STRAYS = """(select l_orderkey, l_partkey, l_quantity from lineitem union all
+  select l_orderkey + 900000000000, l_partkey, l_quantity from lineitem) lines"""
+_REDUCED_ANTI = f"select * from {_STRAYS} anti join orders on l_orderkey = o_orderkey"
+
+
+def _distinct_by(level: int, year: str, month: str, by: str) -> str:
+    return f"""
+select {level} as level, {year}::int as year, {month}::int as month,
+  count(distinct customer_key) as customers, count(distinct product_key) as products
+from gold_fact_sales {by}"""
+
+
 OPERATOR_ORACLE: dict[str, str] = {
+    "j7_reduced_semi": f"select * from {_STRAYS} semi join orders on l_orderkey = o_orderkey",
+    "j8_reduced_anti": _REDUCED_ANTI,
+    "j8_reduced_anti_hot": _REDUCED_ANTI,
+    "a6_rolled_up_distinct": "union all".join((
+        _distinct_by(2, "year(order_date)", "month(order_date)", "group by all "),
+        _distinct_by(1, "year(order_date)", "null", "group by all "), _distinct_by(0, "null", "null", ""),
+    )),
     "s1_quoted_extract": "select * from bronze_crm_cust_info",
     "s1_quoted_locations": "select * from bronze_erp_loc_a101",
     "s2_plain_extract": "select cid, bdate, nullif(gen, '') as gen from bronze_erp_cust_az12",

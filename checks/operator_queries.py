@@ -20,6 +20,8 @@ from silverlode.operators import (
     balanced_join,
     latest_per_key,
     long_measures,
+    reduced_join,
+    rolled_up_distinct,
     top_dense_ranks,
     with_group_max,
     with_next_value,
@@ -421,7 +423,30 @@ def joined_lines(b: Build, how: str) -> DataFrame:
     return balanced_join(tiny(b), lines, orders, "l_orderkey", "o_orderkey", how)
 
 
+def reduced_lines(b: Build, how: str, limits: Limits | None = None) -> DataFrame:
+    """All lines, and as many again of orders that do not exist, with or without their order."""
+    job = Job(b.job.spark, AS_OF, limits or Limits(), b.job.folder)
+    lines = given(b, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    strays = lines.withColumn("l_orderkey", F.col("l_orderkey") + 900_000_000_000)
+    lines = job.stage(lines.unionByName(strays), "lines_and_strays")
+    return reduced_join(job, lines, given(b, "orders"), "l_orderkey", "o_orderkey", how)
+
+
+def rolled_up_buyers(b: Build) -> DataFrame:
+    """Distinct customers and products of every month, year and of all sales."""
+    sales = b.sales.withColumns({
+        "year": F.year("order_date"), "month": F.month("order_date"),
+    })
+    return rolled_up_distinct(
+        b.job, sales, ["year", "month"], {"customers": "customer_key", "products": "product_key"}
+    )
+
+
 ANSWERS = {
+    "j7_reduced_semi": lambda b: reduced_lines(b, "left_semi"),
+    "j8_reduced_anti": lambda b: reduced_lines(b, "left_anti"),
+    "j8_reduced_anti_hot": lambda b: reduced_lines(b, "left_anti", TINY),
+    "a6_rolled_up_distinct": rolled_up_buyers,
     "s1_quoted_extract": lambda b: extract_rows(b, "crm_cust_info", quoted=True),
     "s1_quoted_locations": lambda b: extract_rows(b, "erp_loc_a101", quoted=True),
     "s2_plain_extract": lambda b: extract_rows(b, "erp_cust_az12", quoted=False),
