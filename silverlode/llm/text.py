@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from silverlode.llm.shipping import in_arrow
 
 # Code points handled at once; a single longer text is still handled whole.
-SLICE = 1_500_000
+SLICE = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -18,8 +18,8 @@ from silverlode.llm import text as tx
 
 # Beyond this many code points a text goes to the library; below, no code point composes.
 PLAIN = 0x250
-# Distinct words a worker remembers (about 50 MB) before it starts anew.
-REMEMBERED = 300_000
+# Distinct words a worker remembers (about 20 MB) before it starts anew.
+REMEMBERED = 100_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _WHITE = {9, 10, 11, 12, 13, 32, 0x85, 0xA0}
 
