@@ -29,6 +29,11 @@ left join (select {_MISSPELT} as cid, bdate from (
   select *, regexp_extract(cid, '[0-9]+')::bigint as n from silver_erp_cust_az12)) details
 on lower(rtrim(cst_key, ' ')) = lower(rtrim(details.cid, ' '))"""
 
+_FACT_WITH_BUYERS = """
+select order_number, product_key, f.customer_key, sales_amount, quantity,
+  c.customer_key as buyer_key, customer_number, country
+from gold_fact_sales f left join gold_dim_customer c on c.customer_key = f.customer_key"""
+
 _STRAYS = """(select l_orderkey, l_partkey, l_quantity from lineitem union all
   select l_orderkey + 900000000000, l_partkey, l_quantity from lineitem) lines"""
 _REDUCED_ANTI = f"select * from {_STRAYS} anti join orders on l_orderkey = o_orderkey"
@@ -198,6 +203,8 @@ union all select 'lines', 'parts', count(distinct l_partkey) from lineitem
 union all select 'lines', 'orders', count(distinct l_orderkey) from lineitem
 union all select 'quantity', 'sum', sum(l_quantity::bigint)::bigint from lineitem
 union all select 'quantity', 'above 40', count(*) filter (where l_quantity > 40) from lineitem""",
+    "j2_bucketed_fact": _FACT_WITH_BUYERS,
+    "j2_bucketed_fact_hot": _FACT_WITH_BUYERS,
     "j4_left_join_hot": f"""
 select l_orderkey, l_partkey, l_quantity, o_orderkey, o_custkey from lineitem left join {_JOIN_ORDERS}""",
     "j6_inner_join_hot": """

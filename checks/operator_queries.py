@@ -28,7 +28,16 @@ from silverlode.operators import (
 )
 from silverlode.plans import gold, practice, silver
 from silverlode.schemas import BRONZE, EXTRACTS, LOAD_TIME, Extract
-from silverlode.sources import LoadFailed, read_extract, split_rejects
+from silverlode.sources import (
+    BucketedTable,
+    Buckets,
+    LoadFailed,
+    bucketed_join,
+    read_bucketed,
+    read_extract,
+    split_rejects,
+    write_bucketed,
+)
 from silverlode.warehouse import SilverLoad
 
 TINY = Limits(broadcast_rows=20, hot_rows=3)
@@ -432,6 +441,46 @@ def reduced_lines(b: Build, how: str, limits: Limits | None = None) -> DataFrame
     return reduced_join(job, lines, given(b, "orders"), "l_orderkey", "o_orderkey", how)
 
 
+# Nothing is broadcast, so tables in buckets meet by them.
+BY_BUCKETS = Limits(broadcast_rows=0)
+
+
+def fact_with_buyers(job: Job, sales: BucketedTable, customers: BucketedTable) -> DataFrame:
+    sales = sales.selected(
+        order_number="order_number", product_key="product_key", customer_key="customer_key",
+        sales_amount="sales_amount", quantity="quantity",
+    )
+    buyers = customers.selected(
+        buyer_key="customer_key", customer_number="customer_number", country="country"
+    )
+    return bucketed_join(job, sales, buyers)
+
+
+def bucketed_fact(b: Build) -> DataFrame:
+    """Every sales line with its customer, from a warehouse that keeps both in buckets by key."""
+    job = Job(b.job.spark, AS_OF, BY_BUCKETS, b.job.folder)
+    by_customer = Buckets("customer_key", 8)
+    store = Warehouse(job, job.new_path("in_buckets"), {
+        ("gold", "fact_sales"): by_customer, ("gold", "dim_customer"): by_customer,
+    })
+    store.load_bronze({table: b.bronze(table) for table in BRONZE})
+    store.load_silver()
+    store.load_gold()
+    return fact_with_buyers(
+        job, store.bucketed("gold", "fact_sales"), store.bucketed("gold", "dim_customer")
+    )
+
+
+def bucketed_fact_hot(b: Build) -> DataFrame:
+    """The same from the loaded tables, with customers of more than three lines as hot keys."""
+    job, tables = tiny(b), []
+    for name, df in (("fact_sales", b.sales), ("dim_customer", b.customers)):
+        path = job.new_path(f"hot-{name}")
+        write_bucketed(job, df, path, Buckets("customer_key", 8))
+        tables.append(read_bucketed(job, path, df.schema))
+    return fact_with_buyers(job, *tables)
+
+
 def rolled_up_buyers(b: Build) -> DataFrame:
     """Distinct customers and products of every month, year and of all sales."""
     sales = b.sales.withColumns({
@@ -446,6 +495,8 @@ ANSWERS = {
     "j7_reduced_semi": lambda b: reduced_lines(b, "left_semi"),
     "j8_reduced_anti": lambda b: reduced_lines(b, "left_anti"),
     "j8_reduced_anti_hot": lambda b: reduced_lines(b, "left_anti", TINY),
+    "j2_bucketed_fact": bucketed_fact,
+    "j2_bucketed_fact_hot": bucketed_fact_hot,
     "a6_rolled_up_distinct": rolled_up_buyers,
     "s1_quoted_extract": lambda b: extract_rows(b, "crm_cust_info", quoted=True),
     "s1_quoted_locations": lambda b: extract_rows(b, "erp_loc_a101", quoted=True),

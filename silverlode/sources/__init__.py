@@ -1,5 +1,12 @@
 """Extract files, stored tables and the run log."""
 
+from silverlode.sources.bucketed import (
+    BucketedTable,
+    Buckets,
+    bucketed_join,
+    read_bucketed,
+    write_bucketed,
+)
 from silverlode.sources.delimited import (
     SOURCE_FILE,
     read_extract,
@@ -9,6 +16,7 @@ from silverlode.sources.files import Files
 from silverlode.sources.tables import LoadFailed, RunLog, rejected_lines, write_version
 
 __all__ = [
+    "BucketedTable", "Buckets", "bucketed_join", "read_bucketed", "write_bucketed",
     "SOURCE_FILE", "read_extract", "split_rejects", "Files",
     "LoadFailed", "RunLog", "rejected_lines", "write_version",
 ]

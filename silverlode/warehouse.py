@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -16,16 +16,23 @@ from silverlode import schemas
 from silverlode.job import Job
 from silverlode.plans import audits, gold, reports, silver
 from silverlode.sources import (
+    BucketedTable,
+    Buckets,
     Files,
     LoadFailed,
     RunLog,
+    read_bucketed,
     read_extract,
     rejected_lines,
+    write_bucketed,
     write_version,
 )
 
 _SCHEMAS = {"bronze": schemas.BRONZE, "silver": schemas.SILVER, "gold": schemas.GOLD}
 
+# Where a version that is laid out in buckets lies in its folder.
+_BUCKETS = "/buckets"
+
 Rows = Callable[[], DataFrame]
 
 
@@ -44,10 +51,20 @@ class Warehouse:
     versions of the last load. The tables of one load therefore always belong together. Views
     that were registered are registered anew after each load. The version before the current
     one is kept for queries that still read it, older ones are removed. One load at a time.
+
+    `layouts` names the cleaned and gold tables, as (layer, table), that loads write in buckets by
+    a key; the layout is stored with each version, so readers need not know it.
     """
 
-    def __init__(self, job: Job, root: str | None = None) -> None:
+    def __init__(
+        self, job: Job, root: str | None = None,
+        layouts: Mapping[tuple[str, str], Buckets] | None = None,
+    ) -> None:
         self.job = job
+        self.layouts = dict(layouts or {})
+        for layer, table in self.layouts:
+            if layer == "bronze" or table not in _SCHEMAS[layer]:
+                raise ValueError(f"{layer}.{table} cannot be laid out in buckets")
         self.root = (root or f"{job.folder}/warehouse").rstrip("/")
         self.log = RunLog(job.spark, f"{self.root}/run_log")
         self.files = Files(job.spark)
@@ -71,8 +88,14 @@ class Warehouse:
         return f"{self.root}/{layer}/{place}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        schema = _SCHEMAS[layer][table]
-        return self.job.spark.read.schema(schema).parquet(self.path(layer, table))
+        schema, path = _SCHEMAS[layer][table], self.path(layer, table)
+        rows = self.job.spark.read.schema(schema).parquet(path)
+        # Buckets and hot keys lie in folders of their own, which Spark reads as a column.
+        return rows.select(schema.fieldNames()) if path.endswith(_BUCKETS) else rows
+
+    def bucketed(self, layer: str, table: str) -> BucketedTable:
+        """A table that was loaded in buckets, for `bucketed_join`."""
+        return read_bucketed(self.job, self.path(layer, table), _SCHEMAS[layer][table])
 
     def bronze(self, table: str) -> DataFrame:
         return self.read("bronze", table)
@@ -231,14 +254,21 @@ class Warehouse:
         started, load_id, work = time.monotonic(), uuid.uuid4().hex, self.job.part("load")
 
         def load(item: tuple[str, Rows]) -> int:
-            table, rows = item
+            table, built = item
             begun, refused = time.monotonic(), None
             try:
-                frame = rows()
+                frame = built()
                 if layer == "silver":
                     frame = frame.withColumn(schemas.LOAD_TIME, F.current_timestamp())
                 version = f"{self.root}/{layer}/{table}/{load_id}"
-                place, loaded, refused = write_version(frame, version)
+                layout = self.layouts.get((layer, table))
+                if layout is None:
+                    place, loaded, refused = write_version(frame, version)
+                else:
+                    staged, loaded, refused = write_version(frame, work.new_path(table))
+                    rows = self.job.spark.read.schema(frame.schema).parquet(staged)
+                    place = f"{version}{_BUCKETS}"
+                    write_bucketed(work, rows, place, layout)
                 if refused:
                     lines = rejected_lines(self.job.spark, version, load_id, table)
                     lines.write.mode("append").parquet(f"{self.root}/bronze_rejects")
