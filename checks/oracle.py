@@ -312,6 +312,14 @@ select a.order_month, any_value(a.total_sales) as total_sales,
   (sum(b.price) // count(b.price))::bigint as moving_average_price
 from monthly a join monthly b on year(a.order_month) = year(b.order_month) and b.order_month <= a.order_month
 group by a.order_month""",
+    "w8_running_line_totals": """
+select *, year(order_date)::int as order_year, sum(sales_amount) over so_far::bigint as running_sales,
+  (sum(price) over so_far // nullif(count(price) over so_far, 0))::bigint as running_average_price
+from gold_fact_sales where order_date is not null
+window so_far as (partition by year(order_date) order by order_date, order_number,
+    product_key nulls first, customer_key nulls first, shipping_date nulls first, due_date nulls first,
+    sales_amount nulls first, quantity nulls first, price nulls first
+  rows between unbounded preceding and current row)""",
     "v3_year_over_year": """
 with yearly as (
   select year(order_date)::int as order_year, product_name, sum(sales_amount)::bigint as current_year

@@ -133,6 +133,7 @@ ANSWERS: dict[str, Callable[[Build], DataFrame]] = {
     # trends
     "v1_monthly_trend": lambda b: trends.monthly_trend(b.sales),
     "v2_running_totals": lambda b: trends.running_totals(b.sales),
+    "w8_running_line_totals": lambda b: trends.running_line_totals(b.job, b.sales),
     "v3_year_over_year": lambda b: trends.year_over_year(b.products, b.sales),
     "v4_category_shares": lambda b: trends.category_shares(b.products, b.sales),
     "v5_cost_tiers": lambda b: trends.cost_tiers(b.products),

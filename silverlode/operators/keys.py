@@ -13,16 +13,12 @@ from silverlode.job import Job
 _POSITION_BITS = 33
 
 
-def add_dense_key(
-    job: Job, df: DataFrame, order: Sequence[str], name: str, stored: bool = False
+def in_ranges(
+    job: Job, df: DataFrame, order: Sequence[str], stored: bool = False
 ) -> DataFrame:
-    """Add `name`: 1..n over all rows in `order` (ascending, NULL first), as a bigint.
+    """The rows of `df` staged in sorted ranges, with `_range` and `_position` (from 0) of each.
 
-    The rows are range-partitioned and sorted in parallel; a row's key is its position in its
-    range plus the number of rows in the ranges before it. The number of the row in the scan of
-    the staged files ends the sort order, which makes it total: copies of one value are split
-    over several ranges, and a repeated task gives the same positions. Say `stored` when `df` is
-    a stored table or columns of one, which need not be staged.
+    See `add_dense_key` for what makes the order total and repeatable.
     """
     staged = (df if stored else job.stage(df, "keyless")).withColumn(
         "_number", F.monotonically_increasing_id()
@@ -35,7 +31,21 @@ def add_dense_key(
         F.shiftright("_place", _POSITION_BITS).alias("_range"),
         F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position"),
     )
-    placed = job.stage(placed, "placed")
+    return job.stage(placed, "placed")
+
+
+def add_dense_key(
+    job: Job, df: DataFrame, order: Sequence[str], name: str, stored: bool = False
+) -> DataFrame:
+    """Add `name`: 1..n over all rows in `order` (ascending, NULL first), as a bigint.
+
+    The rows are range-partitioned and sorted in parallel; a row's key is its position in its
+    range plus the number of rows in the ranges before it. The number of the row in the scan of
+    the staged files ends the sort order, which makes it total: copies of one value are split
+    over several ranges, and a repeated task gives the same positions. Say `stored` when `df` is
+    a stored table or columns of one, which need not be staged.
+    """
+    placed = in_ranges(job, df, order, stored)
 
     # One row per range, so this window sees as many rows as there are shuffle partitions.
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from silverlode import fixed_values as fixed
 from silverlode.functions import band, int_avg, int_div, month_diff, month_start, percent_label
-from silverlode.operators import with_grand_total
+from silverlode.job import Job
+from silverlode.operators import with_grand_total, with_running
 from silverlode.plans.reports import customer_segment
 
 
@@ -43,6 +44,19 @@ def running_totals(sales: DataFrame) -> DataFrame:
     ).orderBy("order_month")
 
 
+def running_line_totals(job: Job, sales: DataFrame) -> DataFrame:
+    """Every dated sales line with the sales so far and the average price so far in its year. Lines
+    of a day follow each other by order number and their other columns. `sales` is a stored
+    table; no task holds a whole year."""
+    lines = _dated(sales).withColumn("order_year", F.year("order_date"))
+    so_far = with_running(
+        job, lines, ["order_year"], ["order_date", "order_number"],
+        {"running_sales": "sales_amount", "_prices": "price"}, {"_priced": "price"}, stored=True,
+    )
+    average = int_div(F.col("_prices"), F.col("_priced"))
+    return so_far.withColumn("running_average_price", average).drop("_prices", "_priced")
+
+
 def _by_sign(difference: Column, above: str, below: str, same: str) -> Column:
     return (
         F.when(difference > 0, F.lit(above)).when(difference < 0, F.lit(below)).otherwise(F.lit(same))
