@@ -203,6 +203,7 @@ union all select 'lines', 'parts', count(distinct l_partkey) from lineitem
 union all select 'lines', 'orders', count(distinct l_orderkey) from lineitem
 union all select 'quantity', 'sum', sum(l_quantity::bigint)::bigint from lineitem
 union all select 'quantity', 'above 40', count(*) filter (where l_quantity > 40) from lineitem""",
+    "e3_order_span_footers": ORACLE["e3_order_span"],
     "j2_bucketed_fact": _FACT_WITH_BUYERS,
     "j2_bucketed_fact_hot": _FACT_WITH_BUYERS,
     "j4_left_join_hot": f"""

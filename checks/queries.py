@@ -61,6 +61,9 @@ class Build:
     def gold(self, table: str) -> DataFrame:
         return self._need("gold").gold(table)
 
+    def gold_extremes(self, table: str, *columns: str) -> DataFrame:
+        return self._need("gold").extremes("gold", table, *columns)
+
     @property
     def customers(self) -> DataFrame:
         return self.gold("dim_customer")
@@ -117,6 +120,9 @@ ANSWERS: dict[str, Callable[[Build], DataFrame]] = {
     "e1_profile": lambda b: explore.column_profile(b.customers),
     "e2_catalog": lambda b: explore.product_catalog(b.products),
     "e3_order_span": lambda b: explore.order_span(b.sales),
+    "e3_order_span_footers": lambda b: explore.order_span(
+        b.gold_extremes("fact_sales", "order_date")
+    ),
     "e4_age_by_gender": lambda b: explore.average_age_by_gender(b.job, b.customers),
     "e5_kpis": lambda b: explore.kpi_sheet(b.sales),
     "e6_customers_by_country": lambda b: explore.customers_by_country(b.customers),

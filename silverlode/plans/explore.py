@@ -64,6 +64,7 @@ def product_catalog(products: DataFrame) -> DataFrame:
 
 
 def order_span(sales: DataFrame) -> DataFrame:
+    """First and last order date; the rows may be all sales or the extremes of their dates."""
     return sales.agg(
         F.min("order_date").alias("first_transaction_date"),
         F.max("order_date").alias("last_transaction_date"),

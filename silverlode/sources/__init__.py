@@ -13,10 +13,11 @@ from silverlode.sources.delimited import (
     split_rejects,
 )
 from silverlode.sources.files import Files
+from silverlode.sources.statistics import extremes
 from silverlode.sources.tables import LoadFailed, RunLog, rejected_lines, write_version
 
 __all__ = [
     "BucketedTable", "Buckets", "bucketed_join", "read_bucketed", "write_bucketed",
-    "SOURCE_FILE", "read_extract", "split_rejects", "Files",
+    "SOURCE_FILE", "read_extract", "split_rejects", "Files", "extremes",
     "LoadFailed", "RunLog", "rejected_lines", "write_version",
 ]

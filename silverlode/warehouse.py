@@ -21,6 +21,7 @@ from silverlode.sources import (
     Files,
     LoadFailed,
     RunLog,
+    extremes,
     read_bucketed,
     read_extract,
     rejected_lines,
@@ -100,6 +101,10 @@ class Warehouse:
     def bronze(self, table: str) -> DataFrame:
         return self.read("bronze", table)
 
+    def extremes(self, layer: str, table: str, *columns: str) -> DataFrame:
+        """Two rows with the least and the greatest value of columns, from the file footers."""
+        return extremes(self.job.spark, self.path(layer, table), _SCHEMAS[layer][table], columns)
+
     def silver(self, table: str) -> DataFrame:
         return self.read("silver", table)
 
