@@ -55,24 +55,43 @@ def row_counts(tables: dict[str, DataFrame], name: str) -> DataFrame:
 
 # Checks made right after the silver load
 
+def load_checks() -> dict[str, dict[str, Column]]:
+    """Exception counts of each cleaned table by name, as aggregates that one pass over its rows
+    can answer, such as the one that writes them."""
+    return {
+        "crm_cust_info": {
+            fixed.LOAD_KEYS:
+                F.count_if(F.col("cst_id").isNull()) + _not_in(F.col("cst_gndr"), fixed.GENDERS),
+        },
+        "crm_prd_info": {
+            fixed.LOAD_DATES: F.count_if(F.col("prd_end_dt") < F.col("prd_start_dt")),
+        },
+        "crm_sales_details": {
+            fixed.LOAD_MATH:
+                F.count_if(F.col("sls_sales") != F.col("sls_quantity") * F.col("sls_price")),
+        },
+        "erp_cust_az12": {
+            fixed.LOAD_PREFIX: F.count_if(F.col("cid").startswith(fixed.ERP_ID_PREFIX)),
+        },
+        "erp_loc_a101": {fixed.LOAD_HYPHENS: F.count_if(F.col("cid").contains("-"))},
+    }
+
+
+LOAD_LABELS = ["profiling_target", "metrics", "issue_count"]
+
+
 def load_diagnostics(
     customers: DataFrame, products: DataFrame, sales: DataFrame, erp_customers: DataFrame,
     locations: DataFrame,
 ) -> DataFrame:
-    labels = ["profiling_target", "metrics", "issue_count"]
-    bad_keys = F.count_if(F.col("cst_id").isNull()) + _not_in(F.col("cst_gndr"), fixed.GENDERS)
-    bad_dates = F.count_if(F.col("prd_end_dt") < F.col("prd_start_dt"))
-    bad_math = F.count_if(F.col("sls_sales") != F.col("sls_quantity") * F.col("sls_price"))
-    prefixed = F.count_if(F.col("cid").startswith(fixed.ERP_ID_PREFIX))
-    return _union(
-        _checks(customers, labels, "crm_cust_info", {fixed.LOAD_KEYS: bad_keys}),
-        _checks(products, labels, "crm_prd_info", {fixed.LOAD_DATES: bad_dates}),
-        _checks(sales, labels, "crm_sales_details", {fixed.LOAD_MATH: bad_math}),
-        _checks(erp_customers, labels, "erp_cust_az12", {fixed.LOAD_PREFIX: prefixed}),
-        _checks(locations, labels, "erp_loc_a101", {
-            fixed.LOAD_HYPHENS: F.count_if(F.col("cid").contains("-"))
-        }),
-    )
+    """The load checks of tables that are stored already."""
+    tables = {
+        "crm_cust_info": customers, "crm_prd_info": products, "crm_sales_details": sales,
+        "erp_cust_az12": erp_customers, "erp_loc_a101": locations,
+    }
+    return _union(*(
+        _checks(tables[table], LOAD_LABELS, table, checks) for table, checks in load_checks().items()
+    ))
 
 
 def repeated_or_null(df: DataFrame, key: str) -> DataFrame:

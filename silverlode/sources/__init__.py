@@ -14,10 +14,10 @@ from silverlode.sources.delimited import (
 )
 from silverlode.sources.files import Files
 from silverlode.sources.statistics import extremes
-from silverlode.sources.tables import LoadFailed, RunLog, rejected_lines, write_version
+from silverlode.sources.tables import LoadFailed, RunLog, Written, rejected_lines, write_version
 
 __all__ = [
     "BucketedTable", "Buckets", "bucketed_join", "read_bucketed", "write_bucketed",
     "SOURCE_FILE", "read_extract", "split_rejects", "Files", "extremes",
-    "LoadFailed", "RunLog", "rejected_lines", "write_version",
+    "LoadFailed", "RunLog", "Written", "rejected_lines", "write_version",
 ]

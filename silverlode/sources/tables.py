@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.schemas import RUN_LOG
@@ -14,7 +16,7 @@ _REFUSED = "refused"
 
 
 class LoadFailed(RuntimeError):
-    """A load had more rejected lines than allowed."""
+    """A load had more rejected lines, or more exceptions in a check, than allowed."""
 
 
 class RunLog:
@@ -43,28 +45,46 @@ class RunLog:
         return self.spark.read.schema(RUN_LOG).parquet(self.path)
 
 
-def write_version(rows: DataFrame, path: str) -> tuple[str, int, int]:
-    """Write rows to a new folder; returns where the good ones are, their number and that of the
-    rejected ones.
+class Written(NamedTuple):
+    """Where the good rows of a version are, their number, that of the rejected ones, and what was
+    asked of the good ones."""
 
-    Rows are counted while they are written, so the input is read once. Lines that
-    `read_extract` marked as rejected go to a folder of their own in the same pass.
+    place: str
+    rows: int
+    rejected: int
+    facts: dict[str, int]
+
+
+def write_version(
+    rows: DataFrame, path: str, facts: Mapping[str, Column] | None = None
+) -> Written:
+    """Write rows to a new folder.
+
+    Rows are counted while they are written, and `facts`, aggregates by name, are taken in the same
+    pass, so the input is read once. Lines that `read_extract` marked as rejected go to a folder of their
+    own; facts are asked of rows without such marks only.
     """
-    watch = Observation()
-    if REJECT not in rows.columns:
-        rows.observe(watch, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        return path, watch.get["rows"], 0
-    counted = rows.observe(
-        watch, F.count(F.lit(1)).alias("rows"), F.count(F.col(REJECT)).alias("rejected")
-    )
-    marked = counted.withColumn(_REFUSED, F.col(REJECT).isNotNull())
-    marked.write.partitionBy(_REFUSED).parquet(path)
+    facts, watch = dict(facts or {}), Observation()
+    marked = REJECT in rows.columns
+    if facts and marked:
+        raise ValueError("facts are taken of cleaned rows, not of marked ones")
+    names = {f"fact_{i}": name for i, name in enumerate(facts)}
+    asked = [facts[name].alias(column) for column, name in names.items()]
+    if marked:
+        asked.append(F.count(F.col(REJECT)).alias("rejected"))
+    counted = rows.observe(watch, F.count(F.lit(1)).alias("rows"), *asked)
+    if not marked:
+        counted.write.parquet(path)
+        seen = watch.get
+        return Written(path, seen["rows"], 0, {name: seen[column] for column, name in names.items()})
+    marked_rows = counted.withColumn(_REFUSED, F.col(REJECT).isNotNull())
+    marked_rows.write.partitionBy(_REFUSED).parquet(path)
     rejected = watch.get["rejected"]
     good = watch.get["rows"] - rejected
     place = f"{path}/{_REFUSED}=false"
     if not good:  # no row, no folder
         rows.limit(0).write.parquet(place)
-    return place, good, rejected
+    return Written(place, good, rejected, {})
 
 
 def rejected_lines(spark: SparkSession, path: str, load_id: str, table: str) -> DataFrame:

@@ -21,6 +21,7 @@ from silverlode.sources import (
     Files,
     LoadFailed,
     RunLog,
+    Written,
     extremes,
     read_bucketed,
     read_extract,
@@ -70,6 +71,8 @@ class Warehouse:
         self.log = RunLog(job.spark, f"{self.root}/run_log")
         self.files = Files(job.spark)
         self._new: dict[tuple[str, str], str] = {}
+        # What the last load wrote, by table.
+        self._written: dict[str, Written] = {}
         self._has_views = False
 
     def versions(self, layer: str) -> dict[str, str]:
@@ -143,26 +146,34 @@ class Warehouse:
         steps = [{name: lambda rows=rows: rows for name, rows in tables.items()}]
         return self._load("bronze", lambda _: steps)
 
-    def load_silver(self) -> SilverLoad:
+    def load_silver(self, max_issues: int | None = None) -> SilverLoad:
         """Clean every bronze table; returns the log rows and the checks of the load: rows of
-        each table and diagnostics."""
-        log = self._load("silver", self._silver_steps)
-        tables = {name: self.silver(name) for name in schemas.SILVER}
+        each table and diagnostics.
+
+        The checks are taken while the tables are written, so nothing is read again for them. A
+        table with more than `max_issues` exceptions in one of them fails the load before anything
+        is published (None: any number is allowed).
+        """
+        log = self._load("silver", self._silver_steps, max_issues=max_issues)
+        spark, written = self.job.spark, self._written
+        counts = [(table, written[table].rows) for table in schemas.SILVER]
+        issues = [(table, check, count) for table in schemas.SILVER
+                  for check, count in written[table].facts.items()]
+        target, metric, count = audits.LOAD_LABELS
         return SilverLoad(log, {
-            "row counts": audits.row_counts(tables, "row_count"),
-            "load diagnostics": audits.load_diagnostics(
-                tables["crm_cust_info"], tables["crm_prd_info"], tables["crm_sales_details"],
-                tables["erp_cust_az12"], tables["erp_loc_a101"],
+            "row counts": spark.createDataFrame(counts, "table_name string, row_count bigint"),
+            "load diagnostics": spark.createDataFrame(
+                issues, f"{target} string, {metric} string, {count} bigint"
             ),
         })
 
-    def reload_silver(self, table: str) -> SilverLoad:
+    def reload_silver(self, table: str, max_issues: int | None = None) -> SilverLoad:
         """Clean one bronze table anew; returns the log rows and the table's own audit."""
         def steps(job: Job) -> list[dict[str, Rows]]:
             return [{table: rows} for step in self._silver_steps(job)
                     for name, rows in step.items() if name == table]
 
-        log = self._load("silver", steps)
+        log = self._load("silver", steps, max_issues=max_issues)
         return SilverLoad(log, self.audit_silver(table))
 
     def audit_silver(self, table: str) -> dict[str, DataFrame]:
@@ -247,7 +258,7 @@ class Warehouse:
 
     def _load(
         self, layer: str, plan: Callable[[Job], list[dict[str, Rows]]],
-        max_rejects: int | None = None,
+        max_rejects: int | None = None, max_issues: int | None = None,
     ) -> DataFrame:
         """Load the tables of a layer, step by step, and publish them; returns the log rows.
 
@@ -257,6 +268,8 @@ class Warehouse:
         load staged is removed at its end.
         """
         started, load_id, work = time.monotonic(), uuid.uuid4().hex, self.job.part("load")
+        checks = audits.load_checks() if layer == "silver" else {}
+        self._written = {}
 
         def load(item: tuple[str, Rows]) -> int:
             table, built = item
@@ -267,13 +280,9 @@ class Warehouse:
                     frame = frame.withColumn(schemas.LOAD_TIME, F.current_timestamp())
                 version = f"{self.root}/{layer}/{table}/{load_id}"
                 layout = self.layouts.get((layer, table))
-                if layout is None:
-                    place, loaded, refused = write_version(frame, version)
-                else:
-                    staged, loaded, refused = write_version(frame, work.new_path(table))
-                    rows = self.job.spark.read.schema(frame.schema).parquet(staged)
-                    place = f"{version}{_BUCKETS}"
-                    write_bucketed(work, rows, place, layout)
+                target = version if layout is None else work.new_path(table)
+                written = write_version(frame, target, checks.get(table))
+                place, loaded, refused, issues = written
                 if refused:
                     lines = rejected_lines(self.job.spark, version, load_id, table)
                     lines.write.mode("append").parquet(f"{self.root}/bronze_rejects")
@@ -281,10 +290,20 @@ class Warehouse:
                     raise LoadFailed(
                         f"{layer}.{table}: {refused} rejected lines, {max_rejects} allowed"
                     )
+                for check, count in issues.items():
+                    if max_issues is not None and count > max_issues:
+                        raise LoadFailed(
+                            f"{layer}.{table}: {count} of {check}, {max_issues} allowed"
+                        )
+                if layout is not None:
+                    rows = self.job.spark.read.schema(frame.schema).parquet(place)
+                    place = f"{version}{_BUCKETS}"
+                    write_bucketed(work, rows, place, layout)
             except Exception as error:
                 seconds = time.monotonic() - begun
                 self.log.add(layer, table, None, refused, seconds, "failed", str(error)[:2000])
                 raise
+            self._written[table] = written
             self._new[layer, table] = place.removeprefix(f"{self.root}/{layer}/")
             self.log.add(layer, table, loaded, refused, time.monotonic() - begun, "ok")
             return loaded
