@@ -203,6 +203,10 @@ union all select 'lines', 'parts', count(distinct l_partkey) from lineitem
 union all select 'lines', 'orders', count(distinct l_orderkey) from lineitem
 union all select 'quantity', 'sum', sum(l_quantity::bigint)::bigint from lineitem
 union all select 'quantity', 'above 40', count(*) filter (where l_quantity > 40) from lineitem""",
+    "s3_replaced_months": """
+select * replace (case when month(order_date) % 2 = 0 then quantity * 2 else quantity end as quantity),
+  date_trunc('month', order_date)::date as month_begin
+from gold_fact_sales""",
     "e3_order_span_footers": ORACLE["e3_order_span"],
     "j2_bucketed_fact": _FACT_WITH_BUYERS,
     "j2_bucketed_fact_hot": _FACT_WITH_BUYERS,

@@ -27,11 +27,12 @@ from silverlode.operators import (
     with_next_value,
 )
 from silverlode.plans import gold, practice, silver
-from silverlode.schemas import BRONZE, EXTRACTS, LOAD_TIME, Extract
+from silverlode.schemas import BRONZE, EXTRACTS, GOLD, LOAD_TIME, Extract
 from silverlode.sources import (
     BucketedTable,
     Buckets,
     LoadFailed,
+    MonthlyTable,
     bucketed_join,
     read_bucketed,
     read_extract,
@@ -441,6 +442,15 @@ def reduced_lines(b: Build, how: str, limits: Limits | None = None) -> DataFrame
     return reduced_join(job, lines, given(b, "orders"), "l_orderkey", "o_orderkey", how)
 
 
+def replaced_months(b: Build) -> DataFrame:
+    """The sales after every second month was replaced by lines of twice the quantity."""
+    table = MonthlyTable(b.job, b.job.new_path("monthly"), GOLD["fact_sales"], "order_date")
+    table.replace(b.sales)
+    even = b.sales.filter(F.month("order_date") % 2 == 0)
+    table.replace(even.withColumn("quantity", F.col("quantity") * 2))
+    return table.read()
+
+
 # Nothing is broadcast, so tables in buckets meet by them.
 BY_BUCKETS = Limits(broadcast_rows=0)
 
@@ -502,6 +512,7 @@ ANSWERS = {
     "s1_quoted_locations": lambda b: extract_rows(b, "erp_loc_a101", quoted=True),
     "s2_plain_extract": lambda b: extract_rows(b, "erp_cust_az12", quoted=False),
     "s3_full_reload": reload_twice,
+    "s3_replaced_months": replaced_months,
     "s4_load_time": stamped_rows,
     "s5_table_scan": lambda b: b.bronze("crm_sales_details"),
     "s6_sql_on_views": sql_on_views,
