@@ -10,6 +10,7 @@ token's string, goes to the library whole. Both ways give the library's ids.
 from __future__ import annotations
 
 import unicodedata
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -18,7 +19,7 @@ from silverlode.llm import text as tx
 
 # Beyond this many code points a text goes to the library; below, no code point composes.
 PLAIN = 0x250
-# Distinct words a worker remembers (about 20 MB) before it starts anew.
+# Distinct words a worker remembers (about 20 MB); those it met last stay.
 REMEMBERED = 100_000
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _WHITE = {9, 10, 11, 12, 13, 32, 0x85, 0xA0}
@@ -70,12 +71,18 @@ class WordBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # How the library spells the bytes of each plain code point.
+        self.spelling = {
+            point: as_bytes.pre_tokenize_str(chr(point))[0][0] for point in range(PLAIN)
+        }
         self.marks = {
             number for word, number in self.library.get_vocab().items()
             if word.removesuffix("</w>")[-1:] in (".", "!", "?") and word.endswith("</w>")
         }
+        # Words met lately, and those that were known when the former were begun.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> Ids:
         points, offsets = tx.code_points(texts)
@@ -144,12 +151,16 @@ class WordBpe:
         return Ids(ids, per_text, ends[closing & after[words.ends]])
 
     def _look_up(self, names: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        """The ids of each word. Half of what is remembered is dropped at a time, and of that only
+        words that were not met since the last time."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         found = list(map(self.known.get, names))
+        older, known = self.older, self.known
         for place, ids in enumerate(found):
             if ids is None:
-                found[place] = self.known[names[place]] = self._one(names[place])
+                word = names[place]
+                found[place] = known[word] = older.get(word) or self._one(word)
         return found
 
     def _one(self, word: str) -> bytes:
@@ -157,9 +168,9 @@ class WordBpe:
             numbers = self.library.encode(word, add_special_tokens=False).ids
         else:
             if not word.isascii() or not word.isprintable():
-                word = self.as_bytes.pre_tokenize_str(word)[0][0]
+                word = word.translate(self.spelling)
             numbers = [token.id for token in self.library.model.tokenize(word)]
-        return np.array(numbers, np.uint32).tobytes()
+        return array("I", numbers).tobytes()
 
 
 def _next_is_line_end(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
