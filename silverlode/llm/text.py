@@ -177,6 +177,9 @@ def distinct_runs(
     _, first, which = np.unique(
         run_hashes(points, starts, ends), return_index=True, return_inverse=True
     )
+    return strings(points, starts[first], ends[first]), which
+
+
+def strings(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
     joined = points.astype("<u4", copy=False).tobytes().decode("utf-32-le", "surrogatepass")
-    pairs = zip(starts[first].tolist(), ends[first].tolist())
-    return [joined[start:end] for start, end in pairs], which
+    return [joined[start:end] for start, end in zip(starts.tolist(), ends.tolist())]
