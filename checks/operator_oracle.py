@@ -46,7 +46,21 @@ select {level} as level, {year}::int as year, {month}::int as month,
 from gold_fact_sales {by}"""
 
 
+def _sales_facts(column: str, kind: str) -> str:
+    return f"""
+select '{column}' as column_name, '{kind}' as data_type, count(*) as row_count,
+  count(*) - count({column}) as null_count, min({column})::varchar as min_value,
+  max({column})::varchar as max_value, max(length({column}::varchar))::bigint as max_length,
+  true as distinct_near, true as ranks_and_counts_near
+from gold_fact_sales"""
+
+
 OPERATOR_ORACLE: dict[str, str] = {
+    "e1_profile_merged": "\nunion all ".join(_sales_facts(column, kind) for column, kind in {
+        "order_number": "string", "product_key": "bigint", "customer_key": "bigint",
+        "order_date": "date", "shipping_date": "date", "due_date": "date",
+        "sales_amount": "int", "quantity": "int", "price": "int",
+    }.items()),
     "j7_reduced_semi": f"select * from {_STRAYS} semi join orders on l_orderkey = o_orderkey",
     "j8_reduced_anti": _REDUCED_ANTI,
     "j8_reduced_anti_hot": _REDUCED_ANTI,

@@ -26,7 +26,8 @@ from silverlode.operators import (
     with_group_max,
     with_next_value,
 )
-from silverlode.plans import gold, practice, silver
+from silverlode.plans import explore, gold, practice, silver
+from silverlode.plans.profiles import QUARTILES, merged_profile, profile_sketches
 from silverlode.schemas import BRONZE, EXTRACTS, GOLD, LOAD_TIME, Extract
 from silverlode.sources import (
     BucketedTable,
@@ -501,7 +502,41 @@ def rolled_up_buyers(b: Build) -> DataFrame:
     )
 
 
+def merged_sales_profile(b: Build) -> DataFrame:
+    """The profile of all sales from the stored sketches of every order year, and whether each
+    estimate is as near to the exact answer as it promises (four standard errors)."""
+    sales = b.sales
+    yearly = b.job.stage(
+        profile_sketches(sales, [F.year("order_date").alias("year")]), "yearly_profiles"
+    )
+    merged = merged_profile(yearly, sales.schema)
+    # One row of facts per column, to ask the table how good the estimates are.
+    measures = {}
+    for found in merged.collect():
+        value, values = F.col(found.column_name), found.row_count - found.null_count
+        near = F.lit(True)
+        for share, quartile in zip(QUARTILES, found.quartiles or []):
+            at = F.lit(quartile).cast(sales.schema[found.column_name].dataType)
+            low, high = F.count_if(value < at), F.count_if(value <= at)
+            near &= (low <= (share + 0.02) * values) & (high >= (share - 0.02) * values)
+        for one in found.frequent_values or []:
+            times = F.count_if(value.cast("string") == one.value)
+            near &= F.abs(times - one["count"]) <= 0.002 * found.row_count
+        measures[found.column_name] = near
+    held = long_measures(sales, ["column_name"], "ranks_and_counts_near", {
+        (name,): near for name, near in measures.items()
+    })
+    exact = explore.column_profile(sales).select("column_name", "distinct_count")
+    error = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return merged.join(exact, "column_name").join(held, "column_name").select(
+        "column_name", "data_type", "row_count", "null_count", "min_value", "max_value",
+        "max_length", (error <= 0.065 * F.col("distinct_count")).alias("distinct_near"),
+        F.col("ranks_and_counts_near").cast("boolean").alias("ranks_and_counts_near"),
+    )
+
+
 ANSWERS = {
+    "e1_profile_merged": merged_sales_profile,
     "j7_reduced_semi": lambda b: reduced_lines(b, "left_semi"),
     "j8_reduced_anti": lambda b: reduced_lines(b, "left_anti"),
     "j8_reduced_anti_hot": lambda b: reduced_lines(b, "left_anti", TINY),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from silverlode import schemas
 from silverlode.job import Job
-from silverlode.plans import audits, gold, reports, silver
+from silverlode.plans import audits, gold, profiles, reports, silver
 from silverlode.sources import (
     BucketedTable,
     Buckets,
@@ -108,6 +108,19 @@ class Warehouse:
         """Two rows with the least and the greatest value of columns, from the file footers."""
         return extremes(self.job.spark, self.path(layer, table), _SCHEMAS[layer][table], columns)
 
+    def sketches(self, layer: str, table: str) -> DataFrame:
+        """The profile sketches of the current version: taken when first asked for, kept with the
+        version and removed with it. Those of several versions or tables of one schema merge."""
+        kept = f"{self.path(layer, table)}/_profile"
+        if "_SUCCESS" not in self.files.names(kept):
+            taken = profiles.profile_sketches(self.read(layer, table))
+            taken.coalesce(1).write.mode("overwrite").parquet(kept)
+        return self.job.spark.read.parquet(kept)
+
+    def profile(self, layer: str, table: str) -> DataFrame:
+        """Facts and estimates of every column of the current version (`merged_profile`)."""
+        return profiles.merged_profile(self.sketches(layer, table), _SCHEMAS[layer][table])
+
     def silver(self, table: str) -> DataFrame:
         return self.read("silver", table)
 
