@@ -55,11 +55,10 @@ def drop_boilerplate(
             "left",
         )
     before = F.split(F.col("_row")[text], "\n", -1)
-    known = F.coalesce("plates", F.array().cast("array<struct<h1:bigint,h2:bigint>>"))
-    after = F.filter(before, lambda line: ~F.array_contains(known, _key(line)))
+    after = F.filter(before, lambda line: ~_is_plate(line))
     n_lines = F.greatest(F.size(before), F.lit(0))
     # Pages without a dropped line keep their text as it is.
-    cleaned = met.withColumn("_after", F.when(F.size(known) > 0, after).otherwise(before))
+    cleaned = met.withColumn("_after", F.when(F.col("plates").isNotNull(), after).otherwise(before))
     return tx.unfold(cleaned, pages, {
         text: F.array_join("_after", "\n"), "n_lines": n_lines.cast("long"),
         "n_dropped": (n_lines - F.greatest(F.size("_after"), F.lit(0))).cast("long"),
@@ -70,6 +69,17 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(F.lit(1), line).alias("h1"), F.xxhash64(F.lit(2), line).alias("h2"))
 
 
+def _slot(h1: Column, slots: Column) -> Column:
+    return F.pmod(h1, slots.cast("bigint")).cast("int")
+
+
+def _is_plate(line: Column) -> Column:
+    """One slot of the host's plates is looked through, whatever their number."""
+    key = _key(line)
+    slot = _slot(key["h1"], F.size("plates"))
+    return F.array_contains(F.get("plates", slot), key)
+
+
 def _once(job: Job, page: DataFrame) -> DataFrame:
     """One page of each text of a host. Only the texts of pages with copies move, one of a text
     from each task; the hashes of such texts travel to every task if they are few."""
@@ -92,7 +102,8 @@ def _once(job: Job, page: DataFrame) -> DataFrame:
 
 
 def _boilerplate(page: DataFrame, ratio: float, min_pages: int) -> DataFrame:
-    """(_host, plates): the keys of the lines to drop on each host that has any."""
+    """(_host, plates) for each host with lines to drop: their keys, dealt by hash to as many slots
+    as there are keys. A slot holds one key on average, and can be empty."""
     totals = page.groupBy("_host").agg(F.count("*").alias("pages"))
     line = page.select(
         "_host", F.explode(F.array_distinct(F.split("_text", "\n", -1))).alias("line")
@@ -103,8 +114,25 @@ def _boilerplate(page: DataFrame, ratio: float, min_pages: int) -> DataFrame:
         .agg(F.count("*").alias("times")).filter(F.col("times") >= min_pages)
     )
     total = totals.select(F.col("_host").alias("_of"), "pages")
-    return (
+    keys = (
         counts.join(total, F.col("_host").eqNullSafe(F.col("_of")))
         .filter(F.col("times") > F.col("pages") * ratio)
-        .groupBy("_host").agg(F.collect_list(F.struct("h1", "h2")).alias("plates"))
+        .groupBy("_host").agg(F.collect_list(F.struct("h1", "h2")).alias("keys"))
+    )
+    slots = F.size("keys")
+    nothing = F.lit(None).cast("struct<h1:bigint,h2:bigint>")
+    dealt = F.concat(
+        F.transform("keys", lambda key: F.struct(
+            _slot(key["h1"], slots).alias("slot"), key.alias("key")
+        )),
+        F.transform(F.sequence(F.lit(0), slots - 1), lambda slot: F.struct(
+            slot.alias("slot"), nothing.alias("key")
+        )),
+    )
+    # collect_list leaves the NULLs out, so a slot without keys is an empty array.
+    return (
+        keys.select("_host", F.inline(dealt))
+        .groupBy("_host", "slot").agg(F.collect_list("key").alias("keys"))
+        .groupBy("_host").agg(F.sort_array(F.collect_list(F.struct("slot", "keys"))).alias("found"))
+        .select("_host", F.col("found.keys").alias("plates"))
     )

@@ -60,6 +60,19 @@ def test_copies_of_a_page_may_count_once(spark):
     assert every[7] == once[7] == "text 7"
 
 
+def test_long_pages_with_very_many_plates(spark):
+    """Each of 3,000 lines of six pages is boilerplate, a line of each page and of others is not."""
+    menu = [f"menu {k}" for k in range(3000)]
+    rows = [(k, "a", "\n".join([*menu, f"own {k}"])) for k in range(6)]
+    rows += [(k, "a", f"text {k}\nmenu {k}") for k in range(6, 12)] + [(12, "b", "menu 1\nb")]
+    pages = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plates = ld._boilerplate(pages.toDF("_id", "_host", "_text"), ld.RATIO, ld.MIN_PAGES).first()
+    assert plates["_host"] == "a" and len(plates.plates) == 3000
+    assert sum(map(len, plates.plates)) == 3000 and max(map(len, plates.plates)) < 20
+    got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in ld.drop_boilerplate(spark, pages).collect()]
+    assert sorted(got, key=repr) == brute(rows, ld.RATIO, ld.MIN_PAGES, False)
+
+
 def test_main_path_has_no_python(spark):
     pages = spark.createDataFrame(site_pages(), "doc_id long, source string, text string")
     plan = ld.drop_boilerplate(spark, pages)._jdf.queryExecution().toString()
