@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.job import Job
+from silverlode.operators.joins import balanced_join, number_rows
 
 
 def components(job: Job, links: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b); the label is the least node reached.
 
     Each round maps every node to the least of itself and its neighbours and then does the same
-    to the links, so links shrink until none joins two labels. Rounds are written tables, both
-    ends of a link are shuffled by hash, and a node's neighbours are only ever reduced to their
-    minimum, so a node with very many links is no burden to a task.
+    to the links, so links shrink until none joins two labels. Rounds are written tables. A node's
+    neighbours are only ever reduced to their minimum, and the links of a node with very many are
+    spread over tasks to meet it. `links` is a stored table or a row-wise selection of one.
     """
     links = links.select("a", "b").filter("a <> b")
     labels = None
@@ -32,13 +33,12 @@ def components(job: Job, links: DataFrame) -> DataFrame:
             labels = labels.join(step, "label", "left").select(
                 "node", F.coalesce("parent", "label").alias("label")
             )
-        moved = (
-            links.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("x")), "a")
-            .join(parents.select(F.col("node").alias("b"), F.col("parent").alias("y")), "b")
-            .filter("x <> y")
-        )
+        moved = number_rows(links)
+        for end, name in (("a", "x"), ("b", "y")):
+            side = parents.select(F.col("node").alias(f"of_{end}"), F.col("parent").alias(name))
+            moved = balanced_join(job, moved, side, end, f"of_{end}", "inner", left_source=links)
         links = job.stage(
-            moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+            moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
             "links",
         )
         if links.isEmpty():

@@ -27,6 +27,7 @@ the input has first is marked to be kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.job import Job
+from silverlode.job import Job, Limits
 from silverlode.llm import text as tx
 from silverlode.llm.filters import bitmap, probe
 from silverlode.llm.graph import components
 from silverlode.llm.shipping import in_arrow
+from silverlode.operators.joins import ROW_ID, balanced_join, number_rows
 
 SHINGLE = 5
 BANDS = 24
@@ -56,11 +58,12 @@ _LOW = np.uint64((1 << 20) - 1)
 
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-    keep_text: bool = True,
+    keep_text: bool = True, limits: Limits | None = None,
 ) -> DataFrame:
     """Every row with class_id, class_rows (rows of its class) and class_first (whether it is
-    the one row of its class to keep)."""
-    job = Job(spark)
+    the one row of its class to keep). `limits` says from which size on buckets, and the pairs of
+    one pivot, are spread over several tasks."""
+    job = Job(spark, limits=limits or Limits())
     row = docs if keep_text else docs.drop(text)
     signed = job.stage(
         tx.map_texts(
@@ -131,8 +134,9 @@ def _labels(
 
     # First round: the pivot is the node with most company over all its buckets.
     company = members.groupBy("node").agg(F.sum("crowd").alias("rank"))
-    compared, rest = _round(job, members.join(company, "node").select("band", "node", "rank"))
-    labels = _merged(job, None, job.stage(_similar(compared, bags), "links"))
+    ranked = number_rows(members).join(company, "node").select("band", "node", "rank", ROW_ID)
+    compared, rest = _round(job, ranked, members)
+    labels = _merged(job, None, job.stage(_similar(job, compared, bags), "links"))
     open_members = job.stage(_open(rest, labels), "open")
     if open_members.isEmpty():
         return labels
@@ -140,27 +144,33 @@ def _labels(
     # Second round, on what is open: the node with the least share of shingles of its own.
     left, few = _possible(job, open_members, bags)
     ranked = left.select("band", "node", (F.col("shared") / F.col("n")).alias("rank"))
-    again, rest = _round(job, ranked)
+    again, rest = _round(job, ranked, None)
     again = job.stage(again.join(compared, ["a", "b"], "left_anti"), "pairs")
-    labels = _merged(job, labels, job.stage(_similar(again, bags), "links"))
+    labels = _merged(job, labels, job.stage(_similar(job, again, bags), "links"))
     left = job.stage(_open(left.drop("label").join(rest, ["band", "node"]), labels), "open")
     if left.isEmpty():
         return labels
 
     # All pairs still open.
     pairs = _pairs(left, few).join(compared.union(again), ["a", "b"], "left_anti")
-    return _merged(job, labels, job.stage(_similar(job.stage(pairs, "pairs"), bags), "links"))
+    links = job.stage(_similar(job, job.stage(pairs, "pairs"), bags), "links")
+    return _merged(job, labels, links)
 
 
-def _round(job: Job, ranked: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _round(
+    job: Job, ranked: DataFrame, source: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a, b) of each bucket's node of greatest rank with every other one, and
-    the members (band, node) other than those."""
+    the members (band, node) other than those. `source` is the stored table that `ranked` joined,
+    if it did. A bucket sends one candidate a task, and its members are spread to meet its pivot."""
     pivots = job.stage(
         ranked.groupBy("band").agg(F.max(F.struct("rank", -F.col("node"))).alias("best"))
-        .select("band", (-F.col("best.col2")).alias("pivot")),
+        .select(F.col("band").alias("of_band"), (-F.col("best.col2")).alias("pivot")),
         "pivots",
     )
-    others = ranked.select("band", "node").join(pivots, "band").filter("node <> pivot")
+    others = balanced_join(
+        job, ranked.drop("rank"), pivots, "band", "of_band", "inner", left_source=source
+    ).filter("node <> pivot")
     pairs = others.select(
         F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
     ).distinct()
@@ -329,13 +339,17 @@ def _bags(docs: DataFrame, text: str, members: DataFrame, nodes: DataFrame) -> D
     )
 
 
-def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """The pairs whose multisets overlap in at least 0.8 of their union, in whole numbers."""
+def _similar(job: Job, pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs whose multisets overlap in at least 0.8 of their union, in whole numbers. Bags
+    are never broadcast; the pairs of one node in very many of them are spread over tasks."""
+    moving = replace(job, limits=replace(job.limits, broadcast_rows=0))
+    met = number_rows(pairs)
+    for end in ("a", "b"):
+        side = bags.select(F.col("node").alias(f"of_{end}"), F.col("items").alias(f"items_{end}"))
+        met = balanced_join(moving, met, side, end, f"of_{end}", "inner", left_source=pairs)
     overlap = F.size(F.array_intersect("items_a", "items_b"))
     return (
-        pairs.join(bags.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-        .join(bags.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
-        .filter(9 * overlap >= 4 * (F.size("items_a") + F.size("items_b")))
+        met.filter(9 * overlap >= 4 * (F.size("items_a") + F.size("items_b")))
         .select("a", "b")
     )
 

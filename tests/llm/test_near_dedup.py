@@ -3,12 +3,15 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from silverlode.llm import near_dedup as nd
 from silverlode.llm.graph import components
-from silverlode.job import Job
+from silverlode.job import Job, Limits
 
+# Nothing is broadcast, and buckets, pivots and nodes of more than three rows are spread.
+SPREAD = Limits(broadcast_rows=0, hot_rows=3)
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -65,10 +68,11 @@ def sample():
     return [(1000 - k, text) for k, text in enumerate(docs)]
 
 
-def test_like_brute_force(spark):
+@pytest.mark.parametrize("limits", [None, SPREAD])
+def test_like_brute_force(spark, limits):
     docs = sample()
     frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
-    result = nd.near_duplicates(spark, frame).collect()
+    result = nd.near_duplicates(spark, frame, limits=limits).collect()
     of = brute(docs)
     named, rows = {}, Counter(of)
     for (name, _), place in zip(docs, of):
@@ -80,7 +84,8 @@ def test_like_brute_force(spark):
     assert sorted((r.doc_id, r.class_id, r.class_rows, r.class_first) for r in result) == expected
 
 
-def test_large_group_of_near_copies_is_one_class_without_all_pairs(spark):
+@pytest.mark.parametrize("limits", [None, SPREAD])
+def test_large_group_of_near_copies_is_one_class_without_all_pairs(spark, limits):
     draw = random.Random(5)
     base = [f"w{draw.randrange(5000)}" for _ in range(200)]
     docs = []
@@ -89,7 +94,8 @@ def test_large_group_of_near_copies_is_one_class_without_all_pairs(spark):
         for place in draw.sample(range(200), draw.randrange(1, 9)):
             copy[place] = f"x{draw.randrange(10**6)}"
         docs.append((k, " ".join(copy)))
-    result = nd.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    result = nd.near_duplicates(spark, frame, limits=limits)
     of = {r.doc_id: r.class_id for r in result.collect()}
     assert [of[k] for k in range(300)] == brute(docs)
 
@@ -118,11 +124,12 @@ def test_signatures_do_not_depend_on_the_bound_or_neighbours():
     assert (both[0] == alone[0]).all() and (both[1] == alone[0]).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("limits", [Limits(), SPREAD])
+def test_components(spark, limits):
     draw = random.Random(2)
     links = [(draw.randrange(120), draw.randrange(120)) for _ in range(80)]
     links += [(k, k + 1) for k in range(200, 240)] + [(500, k) for k in range(300, 340)]
-    found = components(Job(spark), spark.createDataFrame(links, "a long, b long"))
+    found = components(Job(spark, limits=limits), spark.createDataFrame(links, "a long, b long"))
     parent = {}
 
     def root(k):
