@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
+import sys
 import threading
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -20,9 +24,25 @@ _shipping = threading.Lock()
 
 
 def in_arrow(df: DataFrame, work: Callable, schema: T.StructType) -> DataFrame:
-    """`df.mapInArrow` whose tasks can import this library."""
+    """`df.mapInArrow` whose tasks can import this library, and begin without the free memory that
+    their worker process kept from the tasks before."""
     _ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        return work(batches)
+
+    return df.mapInArrow(begun, schema)
+
+
+def give_back() -> None:
+    """Free memory goes back to the system; workers are reused, also by stages of other work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def _ship(spark: SparkSession) -> None:

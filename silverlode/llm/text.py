@@ -20,6 +20,8 @@ from silverlode.llm.shipping import in_arrow
 
 # Code points handled at once; a single longer text is still handled whole.
 SLICE = 500_000
+# Rows whose texts are taken out of a batch at once.
+TOGETHER = 1000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -141,7 +143,7 @@ def map_texts(
     result = T.StructType([*rest, *fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_groups(whole)):
             column = batch.schema.get_field_index(text)
             texts = batch.column(column).to_pylist()
             for first, end in slices(texts, limit, length):
@@ -156,6 +158,11 @@ def map_texts(
     return in_arrow(df, work, result)
 
 
+def row_groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of a few rows, so that only their texts are Python strings at a time."""
+    return (batch.slice(first, TOGETHER) for first in range(0, batch.num_rows, TOGETHER))
+
+
 def whole_row(df: DataFrame, drop: Sequence[str] = ()) -> Column:
     """All columns as one struct, so that no name of theirs can clash with a working column."""
     return F.struct(*(F.col(f"`{name}`") for name in df.columns if name not in drop)).alias("_row")
