@@ -5,11 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -23,6 +27,8 @@ class Limits:
     hot_rows: int = 1_000_000
     # At most this many key values can be hot: the hot limit grows with the table.
     hot_keys: int = 100_000
+    # A shuffle of a load has a partition for so many bytes of stored input, at least.
+    task_bytes: int = 4 * 1024 * 1024
 
     def hot_limit(self, rows: int) -> int:
         return max(self.hot_rows, rows // self.hot_keys)
@@ -59,6 +65,21 @@ class Job:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
+    @contextmanager
+    def shuffles_for(self, size: int) -> Iterator[None]:
+        """What runs inside shuffles into a partition for every `limits.task_bytes` of `size`, the
+        bytes of stored input, so that what a task sorts does not grow with the input and need
+        not spill. The session's own number holds where it is greater, and afterwards."""
+        own, wanted = self.spark.conf.get(_PARTITIONS), -(-size // self.limits.task_bytes)
+        if wanted <= int(own):
+            yield
+            return
+        self.spark.conf.set(_PARTITIONS, str(wanted))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(_PARTITIONS, own)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write once to the shared folder and read back, so later steps see one fixed copy.
 

@@ -42,6 +42,11 @@ class Files:
             system.delete(draft, False)
             raise FileExistsError(f"{path} was written by another load")
 
+    def size(self, path: str) -> int:
+        """Bytes of a file or of all files in a folder; `path` may be one of `inputFiles`."""
+        place = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(path))
+        return place.getFileSystem(self._conf).getContentSummary(place).getLength()
+
     def remove(self, path: str) -> None:
         system, place = self._at(path)
         system.delete(place, True)

@@ -13,6 +13,8 @@ from silverlode.schemas import RUN_LOG
 from silverlode.sources.delimited import REJECT, SOURCE_FILE
 
 _REFUSED = "refused"
+# Versions take about a quarter less storage than in Spark's own choice, snappy.
+_CODEC = "zstd"
 
 
 class LoadFailed(RuntimeError):
@@ -74,11 +76,11 @@ def write_version(
         asked.append(F.count(F.col(REJECT)).alias("rejected"))
     counted = rows.observe(watch, F.count(F.lit(1)).alias("rows"), *asked)
     if not marked:
-        counted.write.parquet(path)
+        counted.write.parquet(path, compression=_CODEC)
         seen = watch.get
         return Written(path, seen["rows"], 0, {name: seen[column] for column, name in names.items()})
     marked_rows = counted.withColumn(_REFUSED, F.col(REJECT).isNotNull())
-    marked_rows.write.partitionBy(_REFUSED).parquet(path)
+    marked_rows.write.partitionBy(_REFUSED).parquet(path, compression=_CODEC)
     rejected = watch.get["rejected"]
     good = watch.get["rows"] - rejected
     place = f"{path}/{_REFUSED}=false"

@@ -91,6 +91,12 @@ class Warehouse:
             raise LookupError(f"{layer}.{table} was not loaded yet")
         return f"{self.root}/{layer}/{place}"
 
+    def _size(self, layer: str) -> int:
+        """Bytes of the published tables of a layer."""
+        return sum(
+            self.files.size(f"{self.root}/{layer}/{place}") for place in self.versions(layer).values()
+        )
+
     def read(self, layer: str, table: str) -> DataFrame:
         schema, path = _SCHEMAS[layer][table], self.path(layer, table)
         rows = self.job.spark.read.schema(schema).parquet(path)
@@ -157,7 +163,8 @@ class Warehouse:
     def load_bronze(self, tables: dict[str, DataFrame]) -> DataFrame:
         """Load raw rows that are DataFrames already."""
         steps = [{name: lambda rows=rows: rows for name, rows in tables.items()}]
-        return self._load("bronze", lambda _: steps)
+        files = {file for rows in tables.values() for file in rows.inputFiles()}
+        return self._load("bronze", lambda _: steps, size=sum(map(self.files.size, files)))
 
     def load_silver(self, max_issues: int | None = None) -> SilverLoad:
         """Clean every bronze table; returns the log rows and the checks of the load: rows of
@@ -167,7 +174,9 @@ class Warehouse:
         table with more than `max_issues` exceptions in one of them fails the load before anything
         is published (None: any number is allowed).
         """
-        log = self._load("silver", self._silver_steps, max_issues=max_issues)
+        log = self._load(
+            "silver", self._silver_steps, max_issues=max_issues, size=self._size("bronze")
+        )
         spark, written = self.job.spark, self._written
         counts = [(table, written[table].rows) for table in schemas.SILVER]
         issues = [(table, check, count) for table in schemas.SILVER
@@ -186,7 +195,7 @@ class Warehouse:
             return [{table: rows} for step in self._silver_steps(job)
                     for name, rows in step.items() if name == table]
 
-        log = self._load("silver", steps, max_issues=max_issues)
+        log = self._load("silver", steps, max_issues=max_issues, size=self._size("bronze"))
         return SilverLoad(log, self.audit_silver(table))
 
     def audit_silver(self, table: str) -> dict[str, DataFrame]:
@@ -250,7 +259,7 @@ class Warehouse:
                 },
             ]
 
-        return self._load("gold", steps)
+        return self._load("gold", steps, size=self._size("silver"))
 
     def report_customers(self) -> DataFrame:
         return reports.report_customers(self.job, self.gold("dim_customer"), self.gold("fact_sales"))
@@ -271,10 +280,12 @@ class Warehouse:
 
     def _load(
         self, layer: str, plan: Callable[[Job], list[dict[str, Rows]]],
-        max_rejects: int | None = None, max_issues: int | None = None,
+        max_rejects: int | None = None, max_issues: int | None = None, size: int = 0,
     ) -> DataFrame:
         """Load the tables of a layer, step by step, and publish them; returns the log rows.
 
+        Shuffles are dealt for `size` bytes of input (`Job.shuffles_for`).
+
         The tables of one step do not need each other and are submitted together, so that a
         small one does not leave the cluster idle. The first error is raised once all tables of
         its step have ended, each with its own entry; later steps are not started. What the
@@ -323,9 +334,10 @@ class Warehouse:
 
         total, status, message = 0, "failed", None
         try:
-            for tables in plan(work):
-                with ThreadPoolExecutor(len(tables)) as pool:
-                    total += sum(pool.map(load, tables.items()))
+            with work.shuffles_for(size):
+                for tables in plan(work):
+                    with ThreadPoolExecutor(len(tables)) as pool:
+                        total += sum(pool.map(load, tables.items()))
             self._publish(layer)
             status = "ok"
         except Exception as error:
