@@ -12,7 +12,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_PARTITIONS = "spark.sql.shuffle.partitions"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,8 @@ class Limits:
     hot_keys: int = 100_000
     # A shuffle of a load has a partition for so many bytes of stored input, at least.
     task_bytes: int = 4 * 1024 * 1024
+    # Where rows are dealt apart from a load, a task gets about this many of them.
+    task_rows: int = 250_000
 
     def hot_limit(self, rows: int) -> int:
         return max(self.hot_rows, rows // self.hot_keys)
@@ -70,15 +72,15 @@ class Job:
         """What runs inside shuffles into a partition for every `limits.task_bytes` of `size`, the
         bytes of stored input, so that what a task sorts does not grow with the input and need
         not spill. The session's own number holds where it is greater, and afterwards."""
-        own, wanted = self.spark.conf.get(_PARTITIONS), -(-size // self.limits.task_bytes)
+        own, wanted = self.spark.conf.get(PARTITIONS), -(-size // self.limits.task_bytes)
         if wanted <= int(own):
             yield
             return
-        self.spark.conf.set(_PARTITIONS, str(wanted))
+        self.spark.conf.set(PARTITIONS, str(wanted))
         try:
             yield
         finally:
-            self.spark.conf.set(_PARTITIONS, own)
+            self.spark.conf.set(PARTITIONS, own)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write once to the shared folder and read back, so later steps see one fixed copy.

@@ -34,7 +34,7 @@ def _per_month(sales: Column, months: Column) -> Column:
 def report_customers(job: Job, customers: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales are aggregated per customer before they meet the dimension, which keeps customers
     without sales and moves one row per customer instead of every sales line."""
-    activity = group_with_distinct(sales, "customer_key", [
+    activity = group_with_distinct(job, sales, "customer_key", [
         F.sum("sales_amount").alias("sales"),
         F.sum("quantity").alias("items"),
         F.min("order_date").alias("first_order"),
@@ -74,7 +74,7 @@ def report_products(job: Job, products: DataFrame, sales: DataFrame) -> DataFram
     unit_price = F.col("sales_amount").cast("decimal(20,0)") / F.nullif("quantity", F.lit(0)).cast(
         "decimal(10,0)"
     )
-    activity = group_with_distinct(sales, "product_key", [
+    activity = group_with_distinct(job, sales, "product_key", [
         sum_or_zero(F.col("sales_amount")).alias("total_sales"),
         sum_or_zero(F.col("quantity")).alias("total_quantity"),
         F.round(F.avg(unit_price), 1).cast("double").alias("avg_selling_price"),
