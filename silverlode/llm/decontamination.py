@@ -56,9 +56,9 @@ def contamination(
     found = job.stage(
         tx.map_texts(
             docs.select(tx.whole_row(row), F.monotonically_increasing_id().alias("_id"),
-                        F.col(f"`{text}`").alias("_text")),
+                        *tx.beside(text, keep_text)),
             [T.StructField("n_words", T.LongType()), T.StructField("hits", _HITS)],
-            lambda texts: _scan(texts, known, lengths),
+            lambda texts: _scan(texts, known, lengths), inside=text if keep_text else None,
         ),
         "document_hits",
     )

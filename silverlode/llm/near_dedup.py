@@ -69,10 +69,10 @@ def near_duplicates(
         tx.map_texts(
             docs.select(
                 tx.whole_row(row), F.monotonically_increasing_id().alias("_id"),
-                F.col(f"`{doc_id}`").alias("_doc"), *_keys(text),
-                F.col(f"`{text}`").alias("_text"),
+                F.col(f"`{doc_id}`").alias("_doc"), *_keys(text), *tx.beside(text, keep_text),
             ),
             [T.StructField("bands", T.ArrayType(T.LongType()))], _bands, limit=400_000,
+            inside=text if keep_text else None,
         ),
         "signed",
     )

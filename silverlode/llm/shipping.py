@@ -19,20 +19,29 @@ import silverlode
 from silverlode.job import Job
 from silverlode.sources import Files
 
+# Bytes of the batches that go to a task; a longer row is a batch of its own. Spark sets none, so
+# that 10,000 texts of any length stay in memory on both sides at once, and double where they grow.
+BATCH_BYTES = 4 * 1024 * 1024
+_MOST = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 _shipping = threading.Lock()
 
 
 def in_arrow(df: DataFrame, work: Callable, schema: T.StructType) -> DataFrame:
-    """`df.mapInArrow` whose tasks can import this library, and begin without the free memory that
-    their worker process kept from the tasks before."""
+    """`df.mapInArrow` whose tasks can import this library, get batches of few bytes, and begin and
+    leave their worker process without free memory that it kept. The size of batches is a setting
+    of the session, which stays; the session's own holds where it has one."""
     _ship(df.sparkSession)
+    if df.sparkSession.conf.get(_MOST, None) is None:
+        df.sparkSession.conf.set(_MOST, str(BATCH_BYTES))
 
-    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from work(batches)
         give_back()
-        return work(batches)
 
-    return df.mapInArrow(begun, schema)
+    return df.mapInArrow(lean, schema)
 
 
 def give_back() -> None:

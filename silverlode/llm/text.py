@@ -136,16 +136,22 @@ def segments(row: np.ndarray, rows: int) -> np.ndarray:
 def map_texts(
     df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[list], list[pa.Array]],
     text: str = "_text", limit: int = SLICE, length: Callable = lambda text: len(text or ""),
+    inside: str | None = None,
 ) -> DataFrame:
-    """`df` without its text column, with the fields that `compute` gives for each text."""
+    """`df` without its text column, with the fields that `compute` gives for each text. `inside`
+    names the column of `_row` that is the text instead, so that it travels once."""
     rest = [field for field in df.schema.fields if field.name != text]
     names = [field.name for field in rest]
     result = T.StructType([*rest, *fields])
+    nested = None if inside is None else _place(df.schema["_row"].dataType.names, inside)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in row_groups(whole)):
-            column = batch.schema.get_field_index(text)
-            texts = batch.column(column).to_pylist()
+            if nested is None:
+                column = batch.column(batch.schema.get_field_index(text))
+            else:
+                column = batch.column(batch.schema.get_field_index("_row")).field(nested)
+            texts = column.to_pylist()
             for first, end in slices(texts, limit, length):
                 kept = [
                     batch.column(batch.schema.get_field_index(name)).slice(first, end - first)
@@ -158,6 +164,11 @@ def map_texts(
     return in_arrow(df, work, result)
 
 
+def _place(names: list[str], name: str) -> int:
+    """Where a column is, as Spark finds it: by its name, else without regard to case."""
+    return names.index(name) if name in names else [n.lower() for n in names].index(name.lower())
+
+
 def row_groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch in parts of a few rows, so that only their texts are Python strings at a time."""
     return (batch.slice(first, TOGETHER) for first in range(0, batch.num_rows, TOGETHER))
@@ -168,6 +179,11 @@ def whole_row(df: DataFrame, drop: Sequence[str] = ()) -> Column:
     return F.struct(*(F.col(f"`{name}`") for name in df.columns if name not in drop)).alias("_row")
 
 
+def beside(text: str, keep_text: bool) -> list[Column]:
+    """The text as a column beside `_row`, where that does not hold it."""
+    return [] if keep_text else [F.col(f"`{text}`").alias("_text")]
+
+
 def unfold(df: DataFrame, row: DataFrame, results: dict[str, Column]) -> DataFrame:
     """The columns of `row` from `_row`, then the results; a result replaces an input column
     of its name."""

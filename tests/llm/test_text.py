@@ -51,3 +51,57 @@ def test_bitmap_holds_every_hash(spark):
     known = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
     assert probe(table, known).all()
     assert probe(table, known + np.uint64(1)).mean() < 0.05
+
+
+def test_batches_hold_few_bytes(spark, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from silverlode.llm import shipping
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    monkeypatch.setattr(shipping, "BATCH_BYTES", 100_000)
+    spark.conf.unset(shipping._MOST)
+    try:
+        rows = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+        got = shipping.in_arrow(rows, sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in got) == 600
+        assert max(r.bytes for r in got) < 110_000
+        spark.conf.set(shipping._MOST, "50000")
+        got = shipping.in_arrow(rows, sizes, "rows long, bytes long").collect()
+        assert sum(r.rows for r in got) == 600
+        assert max(r.bytes for r in got) < 55_000
+    finally:
+        spark.conf.unset(shipping._MOST)
+
+
+def test_a_kept_text_travels_once(spark, benchmark, monkeypatch):
+    from silverlode.llm import near_dedup, quality_rules
+    from silverlode.llm.decontamination import contamination
+
+    seen, plain = [], tx.in_arrow
+
+    def spied(df, work, result):
+        seen.append([field.name for field in df.schema.fields])
+        return plain(df, work, result)
+
+    monkeypatch.setattr(tx, "in_arrow", spied)
+    passage = " ".join(f"w{n}" for n in range(12))
+    docs = spark.createDataFrame(
+        [(1, f"so {passage}"), (2, None), (3, ""), (4, "other words")], "doc_id long, Text string"
+    )
+    for keep in (True, False):
+        found = contamination(spark, docs, benchmark([passage]), keep_text=keep)
+        assert {r.doc_id: (r.n_words, r.n_hit) for r in found.collect()} == {
+            1: (13, 12), 2: (0, 0), 3: (0, 0), 4: (2, 0)
+        }
+        assert ("_text" in seen[-1]) is not keep
+        near_dedup.near_duplicates(spark, docs, keep_text=keep)
+        assert any("_doc" in names and ("_text" in names) is not keep for names in seen)
+    assert [r.Text for r in contamination(spark, docs, benchmark([passage])).sort("doc_id")
+            .collect()] == [f"so {passage}", None, "", "other words"]
+    quality_rules.clean_lines(docs).collect()
+    assert seen[-1] == ["_row"]
